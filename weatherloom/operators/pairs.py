@@ -70,7 +70,6 @@ def _same_position(stations: DataFrame) -> DataFrame:
             F.lit(1).cast("bigint").alias("N_A"),
             F.lit(1).cast("bigint").alias("N_B"),
         )
-        .distinct()
     )
 
 
