@@ -48,13 +48,14 @@ def country_year_means(
         .agg(counted.alias("n"), valued.alias("n_values"), total.alias("total"))
     )
     mean = F.try_divide(F.sum("total"), F.sum("n_values")) / C.element_divisor(element)
+    # A station-year occurs once per place here, so counting rows counts stations.
     return (
         per_station.join(stations.select("ID", *place).distinct(), "ID")
         .groupBy("YEAR", *place)
         .agg(
             mean.alias(MEAN),
             F.sum("n").alias("N_OBSERVATIONS"),
-            F.count_distinct("ID").alias("N_STATIONS"),
+            F.count(F.lit(1)).alias("N_STATIONS"),
         )
     )
 
