@@ -70,6 +70,7 @@ def _same_position(stations: DataFrame) -> DataFrame:
             F.lit(1).cast("bigint").alias("N_A"),
             F.lit(1).cast("bigint").alias("N_B"),
         )
+        .withColumn("DISTANCE_KM", _distance())
     )
 
 
@@ -92,13 +93,17 @@ def _cells(edge_km: Column) -> dict[str, Column]:
     }
 
 
-def _neighbours(sites: DataFrame, edge_km: Column, *, spread: bool) -> DataFrame:
-    """Pairs of distinct sites in the same or in touching cells of the given edge.
+def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFrame:
+    """Pairs of distinct sites in the same or in touching cells, cells as wide as the reach.
 
+    The reach may be a scalar subquery; as a column of its own it is evaluated once.
     With ``spread`` the sites of a crowded cell are divided over several tasks and the
     sites they are compared with are repeated for each of them.
     """
-    home = sites.select("site", "N", *(c.alias(n) for n, c in _cells(edge_km).items()))
+    edge = F.col("reach_km") * (1 + 1e-9)
+    home = sites.withColumn("reach_km", reach_km).select(
+        "site", "N", "reach_km", *(c.alias(n) for n, c in _cells(edge).items())
+    )
     offsets = F.array(
         *(
             F.struct(*(F.lit(d).alias(n) for d, n in zip(o, _CELL)), F.lit(not any(o)).alias("inside"))
@@ -134,7 +139,8 @@ def _neighbours(sites: DataFrame, edge_km: Column, *, spread: bool) -> DataFrame
         *_ends(a, b),
         F.when(swap, F.col("n_other")).otherwise(F.col("N")).alias("N_A"),
         F.when(swap, F.col("N")).otherwise(F.col("n_other")).alias("N_B"),
-    )
+        "reach_km",
+    ).withColumn("DISTANCE_KM", _distance())
 
 
 def pairs_within(stations: DataFrame, max_km: float | Column) -> DataFrame:
@@ -145,13 +151,10 @@ def pairs_within(stations: DataFrame, max_km: float | Column) -> DataFrame:
     ``site_members``). The number of pairs compared is within a constant factor of the
     number of pairs found, because a cell is only as wide as the radius.
     """
-    limit = max_km if isinstance(max_km, Column) else F.lit(float(max_km))
-    near = _neighbours(_sites(stations), limit * (1 + 1e-9), spread=True)
-    return (
-        near.unionByName(_same_position(stations))
-        .withColumn("DISTANCE_KM", _distance())
-        .where(F.col("DISTANCE_KM") <= limit)
-    )
+    reach = max_km if isinstance(max_km, Column) else F.lit(float(max_km))
+    near = _neighbours(_sites(stations), reach, spread=True)
+    near = near.where(F.col("DISTANCE_KM") <= F.col("reach_km")).drop("reach_km")
+    return near.unionByName(_same_position(stations))
 
 
 def mean_spacing_km(stations: DataFrame) -> DataFrame:
@@ -163,10 +166,13 @@ def mean_spacing_km(stations: DataFrame) -> DataFrame:
     return _sites(stations).agg(F.sqrt(F.lit(area) / F.count(F.lit(1))).alias("SPACING_KM"))
 
 
-def _finest_shared_level(sites: DataFrame, levels: Column) -> Column:
-    """The highest of the given levels at which some cell holds two sites."""
+def _finest_shared_level(sites: DataFrame, steps: range, base: Column) -> Column:
+    """The highest of the levels ``base + step`` at which some cell holds two sites."""
     scale = F.pow(F.lit(2.0), F.col("level")) / (2 * EARTH_RADIUS_KM)
-    cells = sites.select("x", "y", "z", F.explode(levels).alias("level")).select(
+    offsets = F.explode(F.array(*map(F.lit, steps)))
+    cells = sites.select("x", "y", "z", offsets.alias("step")).select(
+        "x", "y", "z", (base + F.col("step")).alias("level")
+    ).select(
         "level",
         *(F.floor((F.col(axis) + EARTH_RADIUS_KM) * scale).alias(c) for c, axis in zip(_CELL, "xyz")),
     )
@@ -184,16 +190,14 @@ def closest_pair(stations: DataFrame) -> DataFrame:
     Of equally close pairs the one with the smallest IDs is returned.
     """
     sites = _sites(stations)
-    coarse = _finest_shared_level(
-        sites, F.array(*(F.lit(level) for level in range(0, _LEVELS, _STRIDE)))
-    )
-    level = _finest_shared_level(sites, F.sequence(coarse, coarse + (_STRIDE - 1)))
-    bound = F.sqrt(F.lit(3.0)) * (2 * EARTH_RADIUS_KM) / F.pow(F.lit(2.0), level) * (1 + 1e-9)
+    coarse = _finest_shared_level(sites, range(0, _LEVELS, _STRIDE), F.lit(0))
+    level = _finest_shared_level(sites, range(_STRIDE), coarse)
+    bound = F.sqrt(F.lit(3.0)) * (2 * EARTH_RADIUS_KM) / F.pow(F.lit(2.0), level)
     return (
         _neighbours(sites, bound, spread=False)
+        .drop("reach_km")
         .unionByName(_same_position(stations))
         .drop("N_A", "N_B")
-        .withColumn("DISTANCE_KM", _distance())
         .orderBy(F.asc_nulls_last("DISTANCE_KM"), "ID_A", "ID_B")
         .limit(1)
     )
