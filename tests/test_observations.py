@@ -161,6 +161,13 @@ def test_gaps_of_days(daily_of, rows_of):
     assert covered["B"] == (1, 1, date(2015, 1, 1), date(2015, 1, 1), 1, 1, 0)
 
 
+def test_the_whole_input_as_one_group(daily_of):
+    daily = daily_of([("A", "20150101", "TMIN", 1.0), ("B", "20150102", "TMIN", 1.0), ("A", "20150105", "TMIN", 1.0)])
+    assert [tuple(r) for r in gaps.gap_runs(daily, by=()).collect()] == [(date(2015, 1, 3), date(2015, 1, 4), 2)]
+    assert gaps.missing_days(daily, by=()).count() == 2
+    assert gaps.coverage(daily, by=()).first().MISSING_DAYS == 2
+
+
 def test_coverage_over_several_years(daily_of):
     rows = [("A", f"{y}{m:02d}01", "TMIN", 1.0) for y in (2000, 2002) for m in (1, 2)] * 2
     row = gaps.coverage(daily_of(rows), by=("ELEMENT",)).first()

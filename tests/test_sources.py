@@ -153,9 +153,9 @@ def test_expanded_bytes_and_estimate(spark, year_files):
 def test_listing_lines(spark):
     lines = [
         "Found 5 items",
-        "-rw-r--r--  1 user group  12345 2024-01-01 00:00 wasbs://c@a/daily/1875.csv.gz",
-        "-rw-r--r--  1          54321 2024-01-01 00:00 wasbs://c@a/daily/1763.csv.gz",
-        "-rw-r--r--  1 user group  99999 2024-01-01 00:00 wasbs://c@a/readme.txt",
+        "-rw-r--r--  1 user group  12345 2024-01-01 00:00 hdfs://store/daily/1875.csv.gz",
+        "-rw-r--r--  1          54321 2024-01-01 00:00 hdfs://store/daily/1763.csv.gz",
+        "-rw-r--r--  1 user group  99999 2024-01-01 00:00 hdfs://store/readme.txt",
         "160283428 /daily/2025.csv.gz 3",
         "17 /daily/1999.csv.gz",
         "nothing here",

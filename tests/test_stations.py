@@ -149,12 +149,37 @@ def test_known_ids_broadcast_a_checked_side_below_the_distinct(spark, stations,
     assert "BroadcastHashJoin" not in refused
 
 
+@pytest.mark.parametrize("operator", [integrity.observations_of, integrity.with_station_columns])
+def test_a_hot_station_is_split_when_stations_are_too_many_to_broadcast(spark, tmp_path, operator):
+    facts, places = str(tmp_path / "facts"), str(tmp_path / "stations")
+    hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 20_000)
+    spark.range(0, 300_000, 1, 4).select(hot.alias("ID"), F.col("id").alias("VALUE")).write.parquet(facts)
+    spark.range(20_000).select(F.col("id").alias("ID"), F.lit("name").alias("NAME")).write.parquet(places)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = operator(spark.read.parquet(facts), spark.read.parquet(places), broadcast_limit=0)
+        assert len(joined.collect()) == 300_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_broadcast_only_after_measuring(spark):
     wide = spark.range(1000).select(F.repeat(F.lit("x"), 10_000).alias("text"), "id")
     assert broadcast_if_small(wide, 1 << 20) is wide
     assert broadcast_if_small(wide, 1 << 30) is not wide
-    nested = spark.range(1).select(F.array(F.lit(1)).alias("a"))
-    assert broadcast_if_small(nested) is nested
+    nested = spark.range(1000).select(F.array_repeat(F.lit("TMAX"), 100).alias("ELEMENTS"))
+    assert broadcast_if_small(nested, 1 << 10) is nested
+    assert broadcast_if_small(nested) is not nested
     empty = spark.range(0)
     assert broadcast_if_small(empty) is not empty
 

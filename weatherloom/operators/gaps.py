@@ -39,7 +39,7 @@ def gap_runs(daily: DataFrame, by: tuple[str, ...] = ("ID",)) -> DataFrame:
     """Runs of days without observation inside each group's span.
 
     A run lies between one observed day and the next, so comparing neighbours finds it
-    without building a calendar.
+    without building a calendar. An empty ``by`` takes the input as one group.
     """
     days = (
         daily.select(*by, C.day_of(daily).alias("DAY")).where(F.col("DAY").isNotNull()).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,19 +19,24 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT) -> Dat
 
     Statistics of text files and of join results say little about the true size, so
     one aggregate over the projected columns measures it (one row comes back). Above
-    the limit, or with nested columns, ``df`` is returned as it is: Spark then plans a
-    shuffle join, whose hot keys adaptive execution splits.
+    the limit ``df`` is returned as it is: Spark then plans a shuffle join, whose hot
+    keys adaptive execution splits.
     """
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)) for f in df.schema.fields):
-        return df
-    width: Column = F.lit(_ROW_OVERHEAD)
-    for field in df.schema.fields:
-        text = isinstance(field.dataType, (T.StringType, T.BinaryType))
-        width = width + (F.coalesce(F.octet_length(field.name), F.lit(0)) + 16 if text else F.lit(8))
+    width = reduce(Column.__add__, map(_width, df.schema.fields), F.lit(_ROW_OVERHEAD))
     measured = df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
     return F.broadcast(df) if measured <= limit_bytes else df
 
 
+def _width(field: T.StructField) -> Column:
+    """Bytes of one field of a row, generously."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(column.cast("string")), F.lit(0)) * 8 + 64
+    return F.lit(16)
+
+
 def bounded_collect(df: DataFrame, limit: int = COLLECT_LIMIT, label: str = "result") -> list[Row]:
     """Collect, or fail as soon as there is one row more than allowed."""
     rows = df.limit(limit + 1).collect()

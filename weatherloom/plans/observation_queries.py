@@ -439,6 +439,60 @@ def coverage_by_element(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps.coverage(D.line_observations(spark, sf_dir), by=("ELEMENT",))
 
 
+def _country_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return series.temperature_observations(
+        D.line_observations(spark, sf_dir), D.supplier_stations(spark, sf_dir), country="NP"
+    )
+
+
+_COUNTRY_DAYS = """,
+    country AS (SELECT DATE FROM temperatures t
+                WHERE ID IN (SELECT ID FROM suppliers WHERE COUNTRY_CODE = 'NP')),
+    missing AS (
+        SELECT DAY FROM (SELECT CAST(unnest(generate_series(min(DATE), max(DATE), INTERVAL 1 DAY)) AS DATE) AS DAY
+                         FROM country)
+        WHERE DAY NOT IN (SELECT DATE FROM country))"""
+
+
+def _given_country_days(then: str) -> str:
+    head, _, tail = D.given("temperatures", then="@@").partition(" @@")
+    return f"{head}{_COUNTRY_DAYS} {then}{tail}"
+
+
+@query(
+    "country_coverage",
+    _given_country_days(
+        """
+        SELECT count(*) AS N_OBSERVATIONS, count(DISTINCT year(DATE)) AS N_YEARS,
+               min(DATE) AS FIRST_DAY, max(DATE) AS LAST_DAY,
+               max(DATE) - min(DATE) + 1 AS EXPECTED_DAYS, count(DISTINCT DATE) AS OBSERVED_DAYS,
+               max(DATE) - min(DATE) + 1 - count(DISTINCT DATE) AS MISSING_DAYS
+        FROM country"""
+    ),
+)
+def country_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.coverage(_country_temperatures(spark, sf_dir), by=())
+
+
+@query("country_missing_days", _given_country_days("SELECT DAY FROM missing"))
+def country_missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which no station of the country reported."""
+    return gaps.missing_days(_country_temperatures(spark, sf_dir), by=())
+
+
+@query(
+    "country_gap_runs",
+    _given_country_days(
+        """
+        SELECT min(DAY) AS GAP_START, max(DAY) AS GAP_END, count(*) AS N_DAYS
+        FROM (SELECT DAY, DAY - CAST(row_number() OVER (ORDER BY DAY) AS INTEGER) AS island FROM missing)
+        GROUP BY island"""
+    ),
+)
+def country_gap_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.gap_runs(_country_temperatures(spark, sf_dir), by=())
+
+
 @query(
     "gap_years",
     D.given(
