@@ -9,7 +9,7 @@ from weatherloom.sources import dimensions, files, observations, sinks
 
 STATION_LINES = [
     "NZ000093417 -40.9000  174.9830    7.0    PARAPARAUMU AWS                GSN     93417",
-    "US1FLSL0019  xx.xxxx  -80.4333 -999.9 FL PORT ST. LUCIE 4.0 NE             CRN      ",
+    f"US1FLSL0019  xx.xxxx  -80.4333 -999.9 FL {'PORT ST. LUCIE 4.0 NE':<30}     CRN      ",
     "CA1AB000002  51.0     -114.0",
 ]
 
