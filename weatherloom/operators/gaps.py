@@ -1,7 +1,8 @@
 """Missing years and days, runs of missing days, and coverage of a series.
 
-Observations are reduced to one row per group and day before any window, so a window
-partition is bounded by the calendar, not by the number of observations.
+Observations are reduced to one row per group and month before any window: the days seen
+in a month are the bits of one number, combined on the map side. What is shuffled and
+sorted is bounded by the calendar, not by the number of observations.
 """
 
 from __future__ import annotations
@@ -35,24 +36,43 @@ def year_coverage(df: DataFrame, year_col: str = "YEAR") -> DataFrame:
     ).withColumn("N_MISSING", F.col("LAST_YEAR") - F.col("FIRST_YEAR") + 1 - F.col("N_YEARS"))
 
 
+def _months_seen(daily: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Rows, first and last day, and the days seen as bits, per group and month."""
+    days = daily.select(*by, C.day_of(daily).alias("DAY"))
+    bit = F.call_function("shiftleft", F.lit(1), F.dayofmonth("DAY") - 1)
+    return days.groupBy(*by, F.trunc("DAY", "month").alias("MONTH")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("DAY").alias("first"),
+        F.max("DAY").alias("last"),
+        F.bit_or(bit).alias("seen"),
+    )
+
+
 def gap_runs(daily: DataFrame, by: tuple[str, ...] = ("ID",)) -> DataFrame:
     """Runs of days without observation inside each group's span.
 
-    A run lies between one observed day and the next, so comparing neighbours finds it
-    without building a calendar. An empty ``by`` takes the input as one group.
+    A run lies between one observed day and the next, in the same month or at the start
+    of the next month seen, so no calendar is built. An empty ``by`` takes the input as one group.
     """
-    days = (
-        daily.select(*by, C.day_of(daily).alias("DAY")).where(F.col("DAY").isNotNull()).distinct()
-    )
-    following = F.lead("DAY").over(Window.partitionBy(*by).orderBy("DAY"))
+    # Rows without a real date form a month of their own, which sorts first and has no days.
+    months = _months_seen(daily, by)
+    next_month = F.lead("first").over(Window.partitionBy(*by).orderBy("MONTH"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(30)), lambda bit: F.getbit("seen", bit) == 1)
+    days = F.transform(bits, lambda bit: F.date_add("MONTH", bit))
+    neighbours = F.arrays_zip("day", F.concat(F.slice("day", 2, 31), F.array("next_month")).alias("following"))
+    # Most months have no gap; only the others are unpacked into days.
+    hole = F.bit_count("seen") <= F.datediff("last", "first")
     return (
-        days.withColumn("following", following)
-        .where(F.datediff("following", "DAY") > 1)
+        months.withColumn("next_month", next_month)
+        .where(hole | (F.datediff("next_month", "last") > 1))
+        .withColumn("day", days)
+        .select(*by, F.inline(neighbours).alias("day", "following"))
+        .where(F.datediff("following", "day") > 1)
         .select(
             *by,
-            F.date_add("DAY", 1).alias("GAP_START"),
+            F.date_add("day", 1).alias("GAP_START"),
             F.date_sub("following", 1).alias("GAP_END"),
-            (F.datediff("following", "DAY") - 1).alias("N_DAYS"),
+            (F.datediff("following", "day") - 1).alias("N_DAYS"),
         )
     )
 
@@ -66,15 +86,18 @@ def missing_days(daily: DataFrame, by: tuple[str, ...] = ("ID",)) -> DataFrame:
 def coverage(daily: DataFrame, by: tuple[str, ...] = ("ID",)) -> DataFrame:
     """Observations, years, first and last day, expected, observed and missing days.
 
-    Counting by day, then by year, then by group gives the distinct counts from plain
+    Going by month, then by year, then by group gives the distinct counts from plain
     sums: each step combines on the map side and no row is expanded.
     """
-    per_day = daily.groupBy(*by, C.day_of(daily).alias("DAY")).agg(F.count(F.lit(1)).alias("n"))
-    per_year = per_day.groupBy(*by, F.year("DAY").alias("YEAR")).agg(
-        F.sum("n").alias("n"),
-        F.count("DAY").alias("days"),
-        F.min("DAY").alias("first"),
-        F.max("DAY").alias("last"),
+    per_year = (
+        _months_seen(daily, by)
+        .groupBy(*by, F.year("MONTH").alias("YEAR"))
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(F.bit_count("seen")).alias("days"),
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+        )
     )
     span = F.datediff(F.max("last"), F.min("first")) + 1
     return per_year.groupBy(*by).agg(
