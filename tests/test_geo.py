@@ -101,6 +101,13 @@ def test_stations_at_one_position(spark):
     assert (first.ID_A, first.ID_B, first.NAME_B) == ("A", "B", "b")
 
 
+def test_radius_zero_gives_only_equal_positions(spark):
+    df = spark.createDataFrame([("A", 1.0, 2.0, None), ("B", 1.0, 2.0, None), ("C", 1.0, 2.000001, None)], STATION)
+    assert [(r.ID_A, r.ID_B) for r in pairs.pairs_within(df, 0).collect()] == [("A", "B")]
+    with pytest.raises(ValueError):
+        pairs.pairs_within(df, -1)
+
+
 def test_poles_are_one_position(spark):
     df = spark.createDataFrame([(f"P{i}", -90.0, i * 11.0, None) for i in range(30)] + [("Q", -80.0, 0.0, None)], STATION)
     assert pairs.pairs_within(df, 1).count() == 29

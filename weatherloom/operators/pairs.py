@@ -27,6 +27,9 @@ _LEVELS = 42
 # Left rows of one crowded cell that go to one task.
 _ROWS_PER_TASK = 1000
 
+# Cells are no smaller than this, whatever the radius.
+_LEAST_EDGE_KM = 1e-9
+
 
 def _stations(stations: DataFrame) -> DataFrame:
     name = F.col("NAME") if "NAME" in stations.columns else F.lit(None).cast("string")
@@ -100,7 +103,7 @@ def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFram
     With ``spread`` the sites of a crowded cell are divided over several tasks and the
     sites they are compared with are repeated for each of them.
     """
-    edge = F.col("reach_km") * (1 + 1e-9)
+    edge = F.greatest(F.col("reach_km"), F.lit(_LEAST_EDGE_KM)) * (1 + 1e-9)
     home = sites.withColumn("reach_km", reach_km).select(
         "site", "N", "reach_km", *(c.alias(n) for n, c in _cells(edge).items())
     )
@@ -151,6 +154,8 @@ def pairs_within(stations: DataFrame, max_km: float | Column) -> DataFrame:
     ``site_members``). The number of pairs compared is within a constant factor of the
     number of pairs found, because a cell is only as wide as the radius.
     """
+    if not isinstance(max_km, Column) and max_km < 0:
+        raise ValueError("max_km must not be negative")
     reach = max_km if isinstance(max_km, Column) else F.lit(float(max_km))
     near = _neighbours(_sites(stations), reach, spread=True)
     near = near.where(F.col("DISTANCE_KM") <= F.col("reach_km")).drop("reach_km")
