@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from weatherloom.plans.catalog import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = (
@@ -26,12 +27,12 @@ def sortable(rows):
     return sorted(rows, key=lambda row: tuple((value is None, "" if value is None else value) for value in row))
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows_as_sql(spark, con, name):
-    df = driver.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     got = sortable(tuple(row[c] for c in columns) for row in df.collect())
-    sql = driver.oracle_sql().get(name)
+    sql = ORACLES.get(name)
     if sql is None:
         assert got
         return
@@ -43,7 +44,7 @@ def test_same_rows_as_sql(spark, con, name):
 
 
 def test_only_file_facts_lack_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"file_sizes"}
+    assert set(QUERIES) - set(ORACLES) == {"file_sizes"}
 
 
 WRITES_FIRST = {
@@ -53,9 +54,9 @@ WRITES_FIRST = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - WRITES_FIRST))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES_FIRST))
 def test_plans_have_no_python_and_no_nested_loops(spark, plan_of, name):
-    plan = plan_of(driver.queries()[name](spark, SF))
+    plan = plan_of(QUERIES[name](spark, SF))
     assert not re.search(r"Python|ArrowEval|BatchEval|MapInPandas", plan)
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
