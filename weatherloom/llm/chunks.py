@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import text_hash
+from weatherloom.llm.common import text_hash, written
 
 MIN_CHUNK = 16
 MAX_CHUNK = 1024
@@ -114,7 +114,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
     chunks = chunk_rows(docs, id_col, text_col)
-    firsts = chunks.groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    firsts = written(chunks.groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
     again = chunks.join(firsts, ["d1", "d2"]).filter(F.col("again") | (order > F.col("first")))
     spans = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
 

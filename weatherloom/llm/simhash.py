@@ -139,7 +139,7 @@ def links(marks: DataFrame, radius: int = MAX_BITS, shard_size: int = SHARD_SIZE
     signed = [m - (1 << 64) if m >> 63 else m for m in block_masks(radius)]
     table = F.explode(F.array(*(F.struct(F.lit(i).alias("block"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(signed))))
     keyed = marks.select("fp", table.alias("k")).select("fp", "k.block", "k.key")
-    sizes = keyed.groupBy("block", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = written(keyed.groupBy("block", "key").agg(F.count("*").alias("n")).filter("n > 1"), "shards")
     cells = F.ceil(F.col("n") / shard_size).cast("int")
     placed = (
         keyed.join(sizes, ["block", "key"])
