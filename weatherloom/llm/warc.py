@@ -24,7 +24,7 @@ _MEMBER_HEADER = MAGIC + b"\x00" + b"\x00" * 4 + b"\x00\xff"
 _LEVEL = 3
 _FIELD = re.compile(rb"^([^:\r\n]+):[ \t]*(.*?)[ \t]*\r?$", re.M)
 RECORD = "page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
-_FOUND = RECORD + ", kind string, file string, block long, body binary"
+_FOUND = RECORD + ", kind string, file string, block long, part long, body binary"
 _ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 _BATCH_BYTES = 8 << 20
 
@@ -138,29 +138,47 @@ class _Member:
         return self._inflate.eof
 
 
+    @property
+    def holds_record(self) -> bool:
+        return len(self.out) >= 7
+
+
 def assemble(pieces: Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
-    """(kind, bytes) of consecutive pieces of one range, each beginning with the magic.
+    """(kind, bytes) of consecutive pieces, each beginning with the magic.
 
-    ``record``: the content of a whole member. ``head``: a piece before the first record of the
-    range, perhaps the rest of one that began in an earlier range. ``tail``: the bytes of a last
-    member that is not whole. Bytes of broken members in between are left out.
+    ``record``: the content of a whole member. ``part``: a piece before the first record, perhaps of a
+    member that began earlier, or of a last member that is not whole. Every piece is a candidate for
+    the start of a member until its header is decoded; a piece that follows an open record goes on
+    with it, as the magic may occur inside compressed data. Other bytes belong to no record.
     """
-    current, began = None, False
+    current: _Member | None = None
+    candidates: list[tuple[int, _Member]] = []
+    loose: list[bytes] = []  # not part of a record so far
+    began = False
     for piece in pieces:
         if current is None or not current.add(piece):
-            current = _Member()
-            if not current.add(piece):
-                current = None
-                if not began:
-                    yield "head", piece
+            current = None
+            candidates = [(at, c) for at, c in candidates if c.add(piece)]
+            fresh = _Member()
+            if fresh.add(piece):
+                candidates.append((len(loose), fresh))
+            loose.append(piece)
+            found = next(((at, c) for at, c in candidates if c.holds_record or c.whole), None)
+            if found is None and candidates:
+                continue
+            before = loose if found is None else loose[: found[0]]
+            if not began:
+                yield from (("part", p) for p in before)
+            loose, candidates = [], []
+            if found is None:
                 continue
-        began = began or len(current.out) >= 7
+            current, began = found[1], began or found[1].holds_record
         if current.whole:
             if current.out:
                 yield "record", current.out
             current = None
-    if current is not None:
-        yield "tail", b"".join(current.pieces)
+    rest = loose if current is None else current.pieces
+    yield from (("part", p) for p in rest)
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[bytes]]]:
@@ -179,15 +197,15 @@ def _scan(payloads: bool):
         rows: list[tuple] = []
         size = 0
         for (file, block), pieces in _ranges(batches):
-            for kind, body in assemble(pieces):
+            for order, (kind, body) in enumerate(assemble(pieces)):
                 parsed = parse(body) if kind == "record" else None
                 if kind == "record" and parsed is None:
                     continue
                 if parsed is not None:
-                    rows.append((*parsed[:6], parsed[6] if payloads else None, kind, None, None, None))
+                    rows.append((*parsed[:6], parsed[6] if payloads else None, kind, None, None, None, None))
                     size += len(parsed[6] or b"") if payloads else 100
                 else:
-                    rows.append((*[None] * 7, kind, file, block, body))
+                    rows.append((*[None] * 7, kind, file, block, order, body))
                     size += len(body)
                 if size > _BATCH_BYTES:
                     yield _to_batch(rows, schema)
@@ -204,21 +222,9 @@ def _to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def _stitch(frame: pd.DataFrame) -> pd.DataFrame:
     """Records of one file whose pieces lie in several ranges."""
-    frame = frame.sort_values("block", kind="stable")
-    found, current = [], None
-    for kind, body in zip(frame["kind"], frame["body"]):
-        if kind == "tail":
-            current = _Member()
-            if not current.add(body):
-                current = None
-        elif current is not None and current.add(body):
-            if current.whole:
-                if parsed := parse(current.out):
-                    found.append(parsed)
-                current = None
-        else:
-            current = None
-    return pd.DataFrame(found, columns=[c.split()[0] for c in RECORD.split(", ")])
+    frame = frame.sort_values(["block", "part"])
+    records = [parse(body) for kind, body in assemble(iter(frame["body"])) if kind == "record"]
+    return pd.DataFrame([r for r in records if r], columns=[c.split()[0] for c in RECORD.split(", ")])
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -239,7 +245,7 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     found = blocks.mapInArrow(_scan(payloads), _FOUND)
     columns = [c.split()[0] for c in RECORD.split(", ")]
     whole = found.filter("kind = 'record'").select(*columns)
-    parts = found.filter("kind <> 'record'").select("file", "block", "kind", "body")
+    parts = found.filter("kind <> 'record'").select("file", "block", "part", "body")
     return whole.union(parts.groupBy("file").applyInPandas(_stitch, RECORD))
 
 
