@@ -14,6 +14,7 @@ from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,10 @@ from weatherloom.llm.common import BROADCAST_ROWS, text_hash, written
 
 MATCH_BYTES = 400
 ANCHOR_BYTES = 160
-#: Different contexts of one anchor that are sorted together; more of them go by whole windows.
+#: Different contexts that are sorted together.
 GROUP_SIZE = 256
+#: Windows of a lane, from one division of a crowded group to the next; the last must be 1.
+LANES = (32, 8, 1)
 _BLOCK = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -216,20 +219,32 @@ def _span_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "text_hash", "start", "end"])
 
 
-def _window_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, times, start, w1, w2): two hashes of every single window of the contexts."""
-    for batch in batches:
-        for row in range(len(batch)):
-            doc, key, times, start, windows, data = (batch.column(i)[row].as_py() for i in range(6))
-            numbers = np.frombuffer(data, np.uint8).astype(np.uint64) + np.uint64(1)
-            hashes = []
-            for base, powers in ((_BASE, _FAR), (_OTHER, _FAR_OTHER)):
-                sums = np.append(np.uint64(0), np.cumsum(numbers * powers[: len(numbers)]))
-                back = _powers(windows, np.uint64(pow(int(base), -1, 1 << 64)))
-                hashes.append(pa.array(ngrams.mix((sums[MATCH_BYTES : MATCH_BYTES + windows] - sums[:windows]) * back).view(np.int64)))
-            same = [pa.array([x] * windows, k) for x, k in ((doc, pa.int64()), (key, pa.int64()), (times, pa.int64()))]
-            at = pa.array(np.arange(start, start + windows, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*same, at, *hashes], ["doc_id", "text_hash", "times", "start", "w1", "w2"])
+_LANE = "doc_id long, text_hash long, times long, start int, windows int, lead int, data binary, k1 long, k2 long, d1 long, d2 long"
+
+
+def _lanes(width: int):
+    """Each context as pieces of at most ``width`` windows, keyed by a digest of the bytes that all windows of the lane cover.
+
+    Equal windows begin equally far before the anchor, so they are in one lane and have one key. A
+    second digest is over all bytes of the piece.
+    """
+    fields = [f.split() for f in _LANE.split(", ")]
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc, key, times, start, windows, lead, data in zip(*(c.to_pylist() for c in batch.columns)):
+                for lane in range((lead - windows + 1) // width, lead // width + 1):
+                    first, last = max(lane * width, lead - windows + 1), min(lane * width + width - 1, lead)
+                    common = data[lead - lane * width : lead + MATCH_BYTES - (lane * width + width) + 1]
+                    piece = data[lead - last : lead + MATCH_BYTES - first]
+                    marks = xxhash.xxh3_128_digest(common, lane) + xxhash.xxh3_128_digest(piece, last)
+                    out.append((doc, key, times, start + lead - last, last - first + 1, last, piece, *np.frombuffer(marks, "<i8").tolist()))
+            columns = zip(*out) if out else [[] for _ in fields]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds[f[1]]) for c, f in zip(columns, fields)], [f[0] for f in fields])
+
+    return run
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_size: int = GROUP_SIZE) -> DataFrame:
@@ -237,14 +252,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     1. Every run of windows becomes one row, named by anchor and context. 2. Anchors that occur once are
     done. Contexts that occur twice are repeated as a whole, whatever number of rows they hold;
-    all these are counts and joins on single keys, with partial sums before the shuffle. 3. What is left is one
-    row per different context; those of one anchor are sorted together. Anchors with more than
-    ``group_size`` different contexts, which no task should hold, are compared by hashes of their
-    windows, 128 bits long, again as counts. Rows repeated with id and text are different
+    all these are counts and joins, with partial sums before the shuffle. 3. What is left is one row
+    per different context; those of one anchor are sorted together. Anchors with more than
+    ``group_size`` different contexts, which no task should hold, are divided by what lanes of some
+    neighbouring windows have in common, nearly MATCH_BYTES long. Equal pieces are folded, and
+    the different ones of a lane sorted together; crowded lanes are divided again, at last into single windows,
+    where nothing but equal pieces is left. Rows repeated with id and text are different
     places, so a long text repeated as a row is removed from both.
     """
     found = written(occurrences(docs, id_col, text_col), "occurrences")
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).filter("n > 1")
+    anchors = written(found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).filter("n > 1"), "anchors")
     shared = written(found.join(anchors, "anchor").withColumn("mixed", F.col("low") != F.col("high")).drop("n", "low", "high"), "shared")
     end = (F.col("start") + F.col("windows") + F.lit(MATCH_BYTES - 1)).alias("end")
     whole = shared.filter("not mixed").select("doc_id", "text_hash", "start", end)
@@ -266,17 +283,31 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     contexts = rows.join(by_doc, same).select("doc_id", "text_hash", "data", F.explode("places").alias("p")).select("doc_id", "text_hash", "p.*", cut.alias("data"))
     contexts = written(contexts.dropDuplicates(["doc_id", "text_hash", "start"]), "contexts")
 
-    sizes = folded.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    sized = contexts.join(sizes, "anchor")
+    sorted_out, crowded = _by_key(contexts, ["anchor"], group_size)
+    spans = whole.union(twice_rows).union(sorted_out)
+    for width in LANES:
+        if crowded is None:
+            break
+        lanes = written(crowded.mapInArrow(_lanes(width), _LANE), "lanes")
+        keys = ["k1", "k2", "d1", "d2"]
+        firsts = [F.first(c).alias(c) for c in ("doc_id", "text_hash", "start", "windows", "lead", "data")]
+        folded = written(lanes.groupBy(*keys).agg(F.count("*").alias("times"), *firsts), "lane-folded")
+        equal = lanes.join(folded.filter("times > 1").select(*keys), keys).select("doc_id", "text_hash", "start", end)
+        sorted_out, crowded = _by_key(folded, ["k1", "k2"], group_size)
+        spans = spans.union(equal).union(sorted_out)
+    return spans
+
+
+def _by_key(contexts: DataFrame, keys: list[str], group_size: int) -> tuple[DataFrame, DataFrame | None]:
+    """(spans of the contexts sorted with the others of their key, contexts whose key has too many if there are any)."""
+    sizes = written(contexts.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
+    sized = contexts.join(sizes, keys)
     member = F.struct("doc_id", "text_hash", "times", "start", "windows", "lead", "data")
-    groups = sized.filter(F.col("n") <= group_size).groupBy("anchor").agg(F.collect_list(member).alias("members")).select("members")
-    sorted_out = groups.mapInArrow(_sorted_groups, _SPAN)
-
-    digest = "doc_id long, text_hash long, times long, start int, w1 long, w2 long"
-    crowded = sized.filter(F.col("n") > group_size).select("doc_id", "text_hash", "times", "start", "windows", "data").mapInArrow(_window_digests, digest)
-    pairs = crowded.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    by_window = crowded.filter("times = 1").join(pairs, ["w1", "w2"]).select("doc_id", "text_hash", "start", (F.col("start") + MATCH_BYTES).alias("end"))
-    return whole.union(twice_rows).union(sorted_out).union(by_window)
+    groups = sized.filter(F.col("n") <= group_size).groupBy(*keys).agg(F.collect_list(member).alias("members")).select("members")
+    crowded = None
+    if not sizes.filter(F.col("n") > group_size).isEmpty():
+        crowded = sized.filter(F.col("n") > group_size).select("doc_id", "text_hash", "times", "start", "windows", "lead", "data")
+    return groups.mapInArrow(_sorted_groups, _SPAN), crowded
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
