@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import text_hash, written
+from weatherloom.llm.common import text_hash, tidy_map, written
 
 MIN_CHUNK = 16
 MAX_CHUNK = 1024
@@ -91,7 +91,7 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield _chunk_batch(batch, parts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, start int, size int, again boolean, d1 long, d2 long")
+    return tidy_map(rows, run, "doc_id long, text_hash long, start int, size int, again boolean, d1 long, d2 long")
 
 
 def _chunk_batch(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,5 +65,15 @@ def without_rows(docs: DataFrame, removed: DataFrame, id_col: str = "doc_id", te
     return docs.join(small(gone), same, "left_anti")
 
 
+def tidy_map(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``rows.mapInArrow(run, schema)``; after each task the worker gives unused memory back, as it is used again."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(tidy, schema)
+
+
 def crc_mod3(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3

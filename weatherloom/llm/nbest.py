@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
+from weatherloom.llm.common import tidy_map
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 NBEST = 3
@@ -24,13 +25,13 @@ _LEAST_SCORE = -1e8
 #: A character that no piece covers is spelled in bytes at this much below the lowest score.
 _BYTE_PENALTY = 10.0
 #: Bytes of text encoded at once, and table cells at once.
-_STEP_BYTES = 1 << 22
+_STEP_BYTES = 1 << 21
 _CELLS = 1 << 21
 #: Longer stretches without a cut go through the search alone, one by one.
 _LONGEST_TABLE = 48
-_REMEMBERED = 50_000
+_REMEMBERED = 20_000
 #: Different stretches a worker remembers, about 50 bytes each; then it starts afresh.
-_KNOWN = 1_000_000
+_KNOWN = 300_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _EDIT = "struct<at:int,drop:int,put:array<int>>"
 ENCODED = f"ids array<int>, n_tokens long, nbest array<struct<score:double,n_tokens:long,edits:array<{_EDIT}>>>"
@@ -224,9 +225,10 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self._options: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        self._options.clear()
         self._keys = np.zeros(0, np.uint64)  # in order, with the place of each in the arrays below
         self._place = np.zeros(0, np.int64)
         self._score, self._loss, self._size = np.zeros(0), np.zeros(0), np.zeros(0, np.int64)
@@ -235,7 +237,7 @@ class Encoder:
     def _learn(self, points: np.ndarray, keys: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
         """The places of the stretches with these different keys, which are remembered up to a fixed number."""
         if len(self._keys) > _KNOWN:
-            self._forget()
+            self.forget()
         at = np.searchsorted(self._keys, keys)
         known = np.zeros(len(keys), bool)
         inside = at < len(self._keys)
@@ -402,8 +404,9 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
                 arrays = [batch.column(0).slice(a, b - a), lists, pa.array(np.diff(ends)), pa.array(ranked, kind), pa.array(same, pa.bool_())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
+        encoder.forget()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id long, {ENCODED}, round_trip boolean")
+    return tidy_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id long, {ENCODED}, round_trip boolean")
 
 
 def decoded(rows: DataFrame, key_col: str = "doc_id", ids_col: str = "ids", model_path: str = MODEL_PATH) -> DataFrame:

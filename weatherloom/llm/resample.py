@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import text_hash, without_rows, written
+from weatherloom.llm.common import text_hash, tidy_map, without_rows, written
 
 BUCKETS = 1 << 14
 #: About so many rows labelled good are drawn as the target, by hash of doc_id.
@@ -79,7 +79,7 @@ def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_co
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return rows.mapInArrow(run, "doc_id long, text_hash long, log_weight double").withColumn("draw", F.col("log_weight") - F.log(-F.log(u)))
+    return tidy_map(rows, run, "doc_id long, text_hash long, log_weight double").withColumn("draw", F.col("log_weight") - F.log(-F.log(u)))
 
 
 def kth_largest(table: DataFrame, column: str, k: int) -> float:

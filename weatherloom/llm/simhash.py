@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weatherloom.llm.common import small, text_hash, without_rows, written
+from weatherloom.llm.common import small, text_hash, tidy_map, without_rows, written
 from weatherloom.llm.graph import components
 
 SHINGLE_WORDS = 4
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed)], ["doc_id", "text_hash", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return tidy_map(rows, run, "doc_id long, text_hash long, fp long")
 
 
 class BKTree:
