@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from weatherloom.operators import country_codes, rainfall
+from weatherloom.operators import rainfall
 from weatherloom.sources.observations import rollup_observations
 
 
@@ -115,11 +115,11 @@ def test_iso3_by_name(spark):
     assert rainfall.with_iso3(means, mapping, on="COUNTRY_NAME").first().ISO3 == "MMR"
 
 
-def test_stated_codes_win_over_alpha2(spark):
-    alpha2 = spark.createDataFrame([("gm", "GMB"), ("ZW", "ZWE")], "ALPHA2 string, ISO3 string")
-    got = {r.COUNTRY_CODE: r.ISO3 for r in country_codes.iso3_mapping(spark, alpha2).collect()}
-    assert got["GM"] == "DEU" and got["ZW"] == "ZWE" and got["NZ"] == "NZL" and got["BQ"] == "NAV"
-    assert len(got) == 55 + 1
+def test_conflicting_iso3_is_listed(spark):
+    means = make(spark, [1]).withColumn("COUNTRY_CODE", F.lit("SX"))
+    mapping = spark.createDataFrame([("SX", "BBB"), ("sx", "AAA"), ("SX", "AAA")], "COUNTRY_CODE string, ISO3 string")
+    row = rainfall.with_iso3(means, mapping).first()
+    assert (row.ISO3, row.ISO3_CONFLICT, row.AMBIGUOUS) == (None, ["AAA", "BBB"], True)
 
 
 def test_display_cap_keeps_the_true_mean(spark):

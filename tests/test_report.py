@@ -141,8 +141,13 @@ def test_country_answers(tables, observed):
     assert answers["country_rolling_mean"].where("ROLLING_C is not null").count() == 2 * 14
 
 
+def observed_mapping(tables):
+    return tables.daily.sparkSession.createDataFrame([("NZ", "NZL"), ("US", "USA")], "COUNTRY_CODE string, ISO3 string")
+
+
 def test_rainfall_answers(tables, observed):
-    answers = report.rainfall_answers(tables, year=2025, without_years=(2022,))
+    mapping = observed_mapping(tables)
+    answers = report.rainfall_answers(tables, year=2025, without_years=(2022,), mapping=mapping)
     groups = defaultdict(list)
     for sid, d, e, v in observed:
         if e == "PRCP" and d[:4] != "2022":

@@ -78,7 +78,7 @@ def test_enriched_stations_keep_every_station(stations, countries, states, inven
 
 
 def test_state_countries(stations, countries):
-    named = enrich.join_countries(C.with_country_code(stations), countries)
+    named = enrich.with_name(C.with_country_code(stations), countries, "COUNTRY_CODE", "COUNTRY_NAME")
     assert [r.LABEL for r in enrich.state_countries(named).collect()] == ["GQ: Guam [United States]", "US: United States"]
 
 
@@ -96,7 +96,7 @@ def test_station_counts(stations, countries):
     assert counts.total_stations(stations.union(stations)).first()[0] == 6
     assert counts.southern_count(stations).first()[0] == 1
     assert counts.country_count(stations).first()[0] == 1
-    named = enrich.join_countries(C.with_country_code(stations), countries)
+    named = enrich.with_name(C.with_country_code(stations), countries, "COUNTRY_CODE", "COUNTRY_NAME")
     assert counts.territory_count(named).first()[0] == 2
     totals = {(r.COUNTRY_NAME, r.IS_TOTAL): r.N_STATIONS for r in counts.territory_totals(named).collect()}
     assert totals == {("Guam [United States]", False): 1, ("Midway Islands [United States}", False): 1, (None, True): 2}

@@ -145,16 +145,20 @@ def with_iso3(rainfall_year: DataFrame, mapping: DataFrame, *, on: str = "COUNTR
 
     ``mapping`` has the key column and ISO3. Rows without a mapping are kept with a
     null ISO3. AMBIGUOUS is true where one ISO3 stands for more than one row of a year,
-    so that a map can leave both out. The window runs over one year's countries.
+    so that a map can leave both out. A key with several ISO3 values gets none of them: they are
+    listed in ISO3_CONFLICT, null elsewhere, and the row is AMBIGUOUS. The window runs over one
+    year's countries.
     """
     key = F.upper(F.trim(on)).alias("map_key")
-    keyed = mapping.groupBy(key).agg(F.min("ISO3").alias("ISO3"))
+    values = F.array_sort(F.collect_set("ISO3"))
+    several = F.size("all") > 1
+    keyed = mapping.groupBy(key).agg(values.alias("all")).select("map_key", F.when(~several, F.get("all", F.lit(0))).alias("ISO3"), F.when(several, F.col("all")).alias("ISO3_CONFLICT"))
     shared = F.count("ISO3").over(Window.partitionBy("YEAR", "ISO3")) > 1
     return (
         rainfall_year.select("*", key)
         .join(keyed, "map_key", "left")
         .drop("map_key")
-        .withColumn("AMBIGUOUS", F.col("ISO3").isNotNull() & shared)
+        .withColumn("AMBIGUOUS", (F.col("ISO3").isNotNull() & shared) | F.col("ISO3_CONFLICT").isNotNull())
     )
 
 

@@ -200,8 +200,8 @@ def rollup_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def element_counts_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the rollup once; counts then read a fraction of the observations."""
     rollup = observations.rollup_observations(D.line_observations(spark, sf_dir))
-    path = sinks.write_parquet(rollup, sinks.shared_path(spark, "rollup"))
-    return counts.element_counts(sinks.read_parquet(spark, path))
+    path = sinks.save(rollup, sinks.shared_path(spark, "rollup"))
+    return counts.element_counts(spark.read.parquet(path))
 
 
 @query(
@@ -364,8 +364,8 @@ def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def dense_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = series.monthly_means(D.line_temperatures(spark, sf_dir))
-    path = sinks.write_parquet(monthly, sinks.shared_path(spark, "monthly"))
-    return series.dense_months(series.rolling_mean(sinks.read_parquet(spark, path)))
+    path = sinks.save(monthly, sinks.shared_path(spark, "monthly"))
+    return series.dense_months(series.rolling_mean(spark.read.parquet(path)))
 
 
 @query(

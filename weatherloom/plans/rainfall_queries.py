@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherloom.operators import country_codes, rainfall
-from weatherloom.operators.enrich import join_countries
+from weatherloom.operators import rainfall
+from weatherloom.operators.enrich import with_name
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
 from weatherloom.sources import observations, sinks
@@ -41,7 +41,7 @@ def country_year_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def country_year_means_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stations = join_countries(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir))
+    stations = with_name(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir), "COUNTRY_CODE", "COUNTRY_NAME")
     return rainfall.country_year_means(D.order_observations(spark, sf_dir), stations)
 
 
@@ -74,9 +74,9 @@ def country_year_means_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def country_year_means_from_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = observations.rollup_observations(D.line_observations(spark, sf_dir))
-    path = sinks.write_parquet(rollup, sinks.shared_path(spark, "rollup"))
+    path = sinks.save(rollup, sinks.shared_path(spark, "rollup"))
     return rainfall.country_year_means(
-        sinks.read_parquet(spark, path), D.supplier_stations(spark, sf_dir)
+        spark.read.parquet(path), D.supplier_stations(spark, sf_dir)
     )
 
 
@@ -235,7 +235,7 @@ _MAPPED = f"""
     D.given("rainfall", then=f"SELECT {_COLUMNS}, ISO3, AMBIGUOUS, round(SHOWN, 6) AS SHOWN FROM ({_MAPPED})"),
 )
 def map_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = rainfall.with_iso3(_year(spark, sf_dir), _iso_mapping(spark, sf_dir))
+    mapped = rainfall.with_iso3(_year(spark, sf_dir), _iso_mapping(spark, sf_dir)).drop("ISO3_CONFLICT")
     return rainfall.with_display_cap(mapped)
 
 
@@ -254,24 +254,3 @@ def mapping_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rainfall.mapping_summary(
         rainfall.with_iso3(_year(spark, sf_dir), _iso_mapping(spark, sf_dir))
     )
-
-
-_STATED = ", ".join(
-    "('{}', '{}')".format(*pair.split())
-    for pair in country_codes.ISO3_BY_CODE.replace("\n", " ").split(",")
-)
-
-
-@query(
-    "iso3_of_stated_codes",
-    D.given(
-        "rainfall",
-        then=f"""
-        SELECT r.COUNTRY_CODE, i.ISO3
-        FROM rainfall r LEFT JOIN (VALUES {_STATED}) i(CODE, ISO3) ON r.COUNTRY_CODE = i.CODE
-        WHERE r.YEAR = {YEAR}""",
-    ),
-)
-def iso3_of_stated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mapped = rainfall.with_iso3(_year(spark, sf_dir), country_codes.iso3_mapping(spark))
-    return mapped.select("COUNTRY_CODE", "ISO3")

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom.operators import counts, enrich, gaps, integrity, pairs, rainfall, series, unpaired
-from weatherloom.operators.country_codes import iso3_mapping
 from weatherloom.sources import dimensions, files, observations, sinks
 
 
@@ -48,20 +47,20 @@ def prepare(
         observations.read_observations(spark, daily), f"{out}/observations"
     )
     landed = observations.read_landed(spark, landed_path)
-    rollup_path = sinks.write_parquet(
+    rollup_path = sinks.save(
         sinks.packed_by(observations.rollup_observations(landed), "YEAR"),
         f"{out}/rollup",
-        partition_by="YEAR",
+        by=["YEAR"],
     )
-    enriched_path = sinks.write_parquet(
+    enriched_path = sinks.save(
         sinks.packed_by(enrich.enrich_stations(**raw, active_year=active_year), "COUNTRY_CODE", 3),
         f"{out}/stations",
-        partition_by="COUNTRY_CODE",
+        by=["COUNTRY_CODE"],
     )
     return Tables(
         daily=landed,
-        rollup=sinks.read_parquet(spark, rollup_path),
-        enriched=sinks.read_parquet(spark, enriched_path),
+        rollup=spark.read.parquet(rollup_path),
+        enriched=spark.read.parquet(enriched_path),
         countries=raw["countries"],
         inventory=raw["inventory"],
         facts=files.file_facts(spark, daily),
@@ -122,7 +121,10 @@ def country_answers(tables: Tables, country: str = "NZ") -> dict[str, DataFrame]
 def rainfall_answers(
     tables: Tables, *, year: int, without_years: tuple[int, ...] = (), mapping: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Country-year rainfall with its statistics, doubts and the map table of one year."""
+    """Country-year rainfall with its statistics, doubts and the map table of one year.
+
+    ``mapping`` (the key column and ISO3) is the caller's; without one the map table has no ISO3.
+    """
     means = rainfall.country_year_means(
         tables.rollup,
         tables.enriched.select("ID", "COUNTRY_CODE", "COUNTRY_NAME"),
@@ -130,8 +132,9 @@ def rainfall_answers(
     )
     highest = rainfall.highest_means(means)
     of_year = rainfall.means_for_year(means, year)
-    mapping = iso3_mapping(means.sparkSession) if mapping is None else mapping
-    key = next(c for c in mapping.columns if c != "ISO3")
+    mapped = of_year
+    if mapping is not None:
+        mapped = rainfall.with_iso3(of_year, mapping, on=next(c for c in mapping.columns if c != "ISO3"))
     return {
         "country_year_means": means,
         "describe": rainfall.describe_means(means),
@@ -142,7 +145,7 @@ def rainfall_answers(
         "percentiles": rainfall.mean_percentiles(of_year),
         "sparse_counts": rainfall.sparse_counts(of_year),
         "sparse_rows": rainfall.sparse_rows(of_year),
-        "map_table": rainfall.with_display_cap(rainfall.with_iso3(of_year, mapping, on=key)),
+        "map_table": rainfall.with_display_cap(mapped),
         "without_data": rainfall.countries_without_data(tables.enriched, of_year).join(
             tables.countries.select(F.col("CODE").alias("COUNTRY_CODE"), "NAME"), "COUNTRY_CODE", "left"
         ),

@@ -138,14 +138,14 @@ def read_landed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def parquet_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = enrich.join_countries(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir))
-    path = sinks.write_parquet(
+    named = enrich.with_name(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir), "COUNTRY_CODE", "COUNTRY_NAME")
+    path = sinks.save(
         sinks.packed_by(named, "COUNTRY_CODE", 3),
         sinks.shared_path(spark, "stations-by-country"),
-        partition_by="COUNTRY_CODE",
+        by=["COUNTRY_CODE"],
     )
     return (
-        sinks.read_parquet(spark, path)
+        spark.read.parquet(path)
         .where(F.col("COUNTRY_CODE").isin("NC", "NH"))
         .select("ID", "NAME", "COUNTRY_CODE", "COUNTRY_NAME")
     )
@@ -162,7 +162,7 @@ def csv_gz_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = rainfall.country_year_means(
         D.order_observations(spark, sf_dir), D.customer_stations(spark, sf_dir)
     )
-    path = sinks.write_csv_gz(means, sinks.shared_path(spark, "rainfall"))
+    path = sinks.save(means, sinks.shared_path(spark, "rainfall"), "csv")
     return spark.read.schema(means.schema).option("header", True).csv(path)
 
 

@@ -111,12 +111,11 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer and element: finished orders, and one element outside the core."""
-    priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    """One row per customer and element, from all orders; pending ones give an element outside the core."""
+    status = F.col("o_orderstatus")
     year = F.year("o_orderdate")
     return (
         table(spark, sf_dir, "orders")
-        .where((status == "F") | ((status == "P") & (priority == "5-LOW")))
         .withColumn(
             "ELEMENT", F.when(status == "P", "TAVG").otherwise(_coded("o_orderpriority", PRIORITY_ELEMENT))
         )
@@ -207,7 +206,6 @@ CTES = {
                CAST(min(year(o_orderdate)) AS BIGINT) AS FIRSTYEAR,
                CAST(max(year(o_orderdate)) AS BIGINT) AS LASTYEAR
         FROM orders
-        WHERE o_orderstatus = 'F' OR (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
         GROUP BY 1, 2""",
     "daily": f"""
         SELECT o_custkey AS ID,

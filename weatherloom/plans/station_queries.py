@@ -27,7 +27,7 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.join_countries(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir))
+    return enrich.with_name(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir), "COUNTRY_CODE", "COUNTRY_NAME")
 
 
 _METRICS = """FIRST_YEAR, LAST_YEAR, array_to_string(SET_OF, ',') AS ELEMENTS,

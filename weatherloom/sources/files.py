@@ -22,39 +22,26 @@ def file_facts(spark: SparkSession, path: str, *, pattern: str | None = None) ->
 
 
 def parse_listing(lines: DataFrame) -> DataFrame:
-    """``year, size, name`` from directory-listing text in column ``value``.
+    """``year, size, name`` of every line of a directory listing (column ``value``) that names a year file.
 
-    A regular line carries the size right before the date and the path at its end,
-    with or without owner and group. From any other line naming a year file, the
-    largest whole number above 1000 that is not the year itself is the size.
+    The fields of a line stand between blanks. The size is the field before the date; in a line
+    without a date it is the field before the path. What is no number there gives a null size, so
+    that no file vanishes; :func:`unread_sizes` counts them.
     """
-    line = F.trim("value")
-    stamp = r"\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}"
-    regular = rf"^\S+\s+\d+\s+(?:\S+\s+\S+\s+)?(\d+)\s+{stamp}\s+(\S+)$"
-    path = F.nullif(F.regexp_extract(line, regular, 2), F.lit(""))
-    stated = F.regexp_extract(line, regular, 1).try_cast("bigint")
-    named_year = F.regexp_extract(line, r"(\d{4})\.csv\.gz", 1).try_cast("int")
-    numbers = F.transform(
-        F.regexp_extract_all(line, F.lit(r"\b(\d+)\b"), F.lit(1)), lambda n: n.try_cast("bigint")
-    )
-    return (
-        lines.select(
-            F.when(path.isNotNull(), C.year_in_filename(path)).otherwise(named_year).alias("year"),
-            path.alias("path"),
-            stated.alias("stated"),
-            numbers.alias("numbers"),
-        )
-        .select(
-            "year",
-            F.when(F.col("path").isNotNull(), F.col("stated"))
-            .otherwise(
-                F.array_max(F.filter("numbers", lambda n: (n > 1000) & (n != F.col("year"))))
-            )
-            .alias("size"),
-            F.concat(F.col("year").cast("string"), F.lit(".csv.gz")).alias("name"),
-        )
-        .where(F.col("year").isNotNull() & F.col("size").isNotNull())
-    )
+    fields = lines.select(F.split(F.trim("value"), r"\s+").alias("field"))
+    years = F.transform("field", C.year_in_filename)
+    dated = F.transform("field", lambda f: F.try_to_date(f, "yyyy-MM-dd").isNotNull())
+    placed = fields.withColumn("year", F.get(F.filter(years, lambda y: y.isNotNull()), 0))
+    path_at = F.array_position(F.transform(years, lambda y: y.isNotNull()), True)
+    date_at = F.array_position(dated, True)
+    before = F.when((date_at > 0) & (date_at < path_at), date_at).otherwise(path_at) - 2
+    size = F.get("field", before.cast("int")).try_cast("bigint")
+    return placed.where("year IS NOT NULL").select("year", size.alias("size"), F.concat(F.col("year").cast("string"), F.lit(".csv.gz")).alias("name"))
+
+
+def unread_sizes(listing: DataFrame) -> DataFrame:
+    """One row: files named in a listing, and those of them whose size could not be read."""
+    return listing.agg(F.count("*").alias("N_FILES"), F.count_if(F.col("size").isNull()).alias("N_UNREAD"))
 
 
 def size_shares(facts: DataFrame, by: str) -> DataFrame:
