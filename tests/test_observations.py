@@ -177,3 +177,13 @@ def test_coverage_over_several_years(daily_of):
 def test_report_order(spark):
     df = spark.createDataFrame([(2001, "B"), (2000, "C"), (2001, "A")], "YEAR int, COUNTRY_CODE string")
     assert [tuple(r) for r in report.in_report_order(df).collect()] == [(2000, "C"), (2001, "A"), (2001, "B")]
+
+
+def test_units_follow_the_element(spark, daily_of):
+    stations = spark.createDataFrame([("NZ1", "a")], "ID string, NAME string")
+    daily = daily_of([("NZ1", "20250101", "SNOW", 30.0), ("NZ1", "20250102", "TMAX", 30.0)])
+    rows = series.temperature_observations(daily, stations, elements=("SNOW", "TMAX"))
+    assert {r.ELEMENT: r.TEMP_C for r in rows.collect()} == {"SNOW": 30.0, "TMAX": 3.0}
+    assert {r.ELEMENT: r.TEMP_C for r in series.monthly_means(rows).collect()} == {"SNOW": 30.0, "TMAX": 3.0}
+    pivot = series.monthly_pivot(rows, ("SNOW", "TMAX")).first()
+    assert (pivot.SNOW, pivot.TMAX) == (30.0, 3.0)

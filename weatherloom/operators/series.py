@@ -29,20 +29,20 @@ def temperature_observations(
     return (
         daily.where(F.col("ELEMENT").isin(*elements))
         .join(listed, "ID")
-        .withColumn("TEMP_C", F.col("VALUE") / 10.0)
+        .withColumn("TEMP_C", C.in_units(F.col("ELEMENT"), F.col("VALUE")))
     )
 
 
-def _mean_celsius() -> Column:
+def _mean_in_units() -> Column:
     # Stored values are whole tenths: their sum is exact in any order, so dividing
     # last makes the mean the same however the rows were partitioned.
-    return F.avg("VALUE") / 10.0
+    return C.in_units(F.col("ELEMENT"), F.avg("VALUE"))
 
 
 def monthly_means(temperatures: DataFrame) -> DataFrame:
     """Mean TEMP_C per station, element and month."""
     month = C.month_start_of(temperatures).alias("YEAR_MONTH")
-    return temperatures.groupBy("ID", "NAME", "ELEMENT", month).agg(_mean_celsius().alias("TEMP_C"))
+    return temperatures.groupBy("ID", "NAME", "ELEMENT", month).agg(_mean_in_units().alias("TEMP_C"))
 
 
 def country_monthly_means(temperatures: DataFrame, *, weighting: str = "observation") -> DataFrame:
@@ -53,7 +53,7 @@ def country_monthly_means(temperatures: DataFrame, *, weighting: str = "observat
     """
     if weighting == "observation":
         month = C.month_start_of(temperatures).alias("YEAR_MONTH")
-        return temperatures.groupBy("ELEMENT", month).agg(_mean_celsius().alias("TEMP_C"))
+        return temperatures.groupBy("ELEMENT", month).agg(_mean_in_units().alias("TEMP_C"))
     if weighting == "station":
         per_station = monthly_means(temperatures)
         return per_station.groupBy("ELEMENT", "YEAR_MONTH").agg(F.avg("TEMP_C").alias("TEMP_C"))
@@ -70,7 +70,7 @@ def monthly_pivot(temperatures: DataFrame, elements: tuple[str, ...] = TEMPERATU
         temperatures.where(F.col("ELEMENT").isin(*elements))
         .groupBy("ID", month)
         .agg(
-            *((F.avg(F.when(F.col("ELEMENT") == e, F.col("VALUE"))) / 10.0).alias(e) for e in elements)
+            *((F.avg(F.when(F.col("ELEMENT") == e, F.col("VALUE"))) / C.element_divisor(e)).alias(e) for e in elements)
         )
     )
 
