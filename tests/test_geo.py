@@ -89,6 +89,17 @@ def test_two_far_apart_points_are_the_closest_pair(spark):
     assert pairs.closest_pair(df).first().DISTANCE_KM == pytest.approx(math.pi * 6371, abs=1e-3)
 
 
+def test_a_task_compares_two_parts_at_most(spark, points, monkeypatch):
+    monkeypatch.setattr(pairs, "_ROWS_PER_TASK", 20)
+    stations = spark.createDataFrame(points[:200], STATION).withColumns({"LATITUDE": F.col("LATITUDE") / 1e4, "LONGITUDE": F.col("LONGITUDE") / 1e4})
+    met = pairs._met(pairs.fold_sites(stations), F.lit(700.0), spread=True)
+    sizes = met.groupBy("cx", "cy", "cz", "offset", "part", "part_other").agg(
+        F.countDistinct("site.ID").alias("a"), F.countDistinct("other.ID").alias("b")
+    )
+    assert sizes.count() >= 100  # one cell in ten parts, each of them meeting each
+    assert max(sizes.agg(F.max("a"), F.max("b")).first()) <= 50
+
+
 def test_stations_at_one_position(spark):
     df = spark.createDataFrame(
         [("B", 1.0, 2.0, "b"), ("A", 1.0, 2.0, "a"), ("C", 1.0, 362.0, "c"), ("D", 1.0, 2.1, "d"), ("N", None, 3.0, "n")], STATION

@@ -114,6 +114,7 @@ def test_observation_answers(tables, observed):
 def test_country_answers(tables, observed):
     answers = report.country_answers(tables)
     assert answers["stations"].count() == 3
+    assert not [n for n, df in answers.items() if any("/out/observations/" in f for f in df.inputFiles())]
     pair = answers["closest_pair"].first()
     assert (pair.ID_A, pair.ID_B) == ("NZ000093417", "NZM00093439")
     assert pair.DISTANCE_KM == pytest.approx(50.53, abs=0.01)

@@ -65,6 +65,33 @@ def test_landing_keeps_every_row_and_prunes_years(spark, year_files, tmp_path, r
     assert "PartitionFilters: [isnotnull(YEAR" in plan_of(one) or "1750" in plan_of(one).split("PartitionFilters")[1][:120]
 
 
+def _files_of(path, year):
+    return len([f for f in (path / f"YEAR={year}").iterdir() if f.name.startswith("part-")])
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_a_year_in_one_gzip_file_is_landed_by_several_tasks(spark, tmp_path, known):
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    with gzip.open(folder / "2001.csv.gz", "wt") as out:
+        out.writelines(f"S{n % 977:010},2001{n % 12 + 1:02}{n % 28 + 1:02},PRCP,{n},,,S,0630\n" for n in range(60000))
+    with gzip.open(folder / "1750.csv.gz", "wt") as out:
+        out.write("S0000000001,17500101,PRCP,1,,,S,0630\n")
+    facts = files.file_facts(spark, str(folder)) if known else None
+    daily = observations.read_observations(spark, str(folder))
+    small = {"advisoryPartitionSizeInBytes": "100k", "coalescePartitions.minPartitionSize": "20k"}
+    for name, value in small.items():
+        spark.conf.set(f"spark.sql.adaptive.{name}", value)
+    try:
+        observations.land_observations(daily, str(tmp_path / "landed"), facts=facts, bucket_bytes=30_000, bucket_rows=5000)
+    finally:
+        for name in small:
+            spark.conf.unset(f"spark.sql.adaptive.{name}")
+    assert observations.read_landed(spark, str(tmp_path / "landed")).count() == 60001
+    assert _files_of(tmp_path / "landed", 2001) > 2
+    assert _files_of(tmp_path / "landed", 1750) == 1
+
+
 def test_land_a_row_without_a_year(spark, daily_of, tmp_path):
     daily = daily_of([("A", "bad", "PRCP", 1.0), ("A", "20010101", "PRCP", 2.0)])
     path = observations.land_observations(daily, str(tmp_path / "landed"))

@@ -24,7 +24,7 @@ _OFFSETS = [o for o in product((-1, 0, 1), repeat=3) if o >= (0, 0, 0)]
 _STRIDE = 7
 _LEVELS = 42
 
-# Left rows of one crowded cell that go to one task.
+# A crowded cell is divided into parts of about so many sites; a task meets one part with another.
 _ROWS_PER_TASK = 1000
 
 # Cells are no smaller than this, whatever the radius.
@@ -45,8 +45,12 @@ def _stations(stations: DataFrame) -> DataFrame:
     )
 
 
-def _sites(stations: DataFrame) -> DataFrame:
-    """One row per position, named by its smallest ID; combines on the map side."""
+def fold_sites(stations: DataFrame) -> DataFrame:
+    """One row per position, named by its smallest ID; combines on the map side.
+
+    The functions below take it as ``sites``: they use it several times, so a caller with
+    many stations lands it first.
+    """
     placed = _stations(stations)
     sites = placed.groupBy("site_lat", "site_lon").agg(
         F.min(F.struct("ID", "LAT", "LON", "NAME")).alias("site"),
@@ -55,15 +59,16 @@ def _sites(stations: DataFrame) -> DataFrame:
     return sites.withColumns(on_sphere(F.col("site_lat"), F.col("site_lon")))
 
 
-def site_members(stations: DataFrame) -> DataFrame:
+def site_members(stations: DataFrame, *, sites: DataFrame | None = None) -> DataFrame:
     """``SITE_ID, ID``: which stations share a position; joins site pairs back to stations."""
-    sites = _sites(stations).select("site_lat", "site_lon", F.col("site.ID").alias("SITE_ID"))
+    folded = fold_sites(stations) if sites is None else sites
+    sites = folded.select("site_lat", "site_lon", F.col("site.ID").alias("SITE_ID"))
     return _stations(stations).join(sites, ["site_lat", "site_lon"]).select("SITE_ID", "ID").distinct()
 
 
-def _same_position(stations: DataFrame) -> DataFrame:
+def _same_position(stations: DataFrame, sites: DataFrame) -> DataFrame:
     """Each station sharing a position, paired with the smallest ID there."""
-    shared = _sites(stations).where(F.col("N") > 1).select("site_lat", "site_lon", "site")
+    shared = sites.where(F.col("N") > 1).select("site_lat", "site_lon", "site")
     return (
         _stations(stations)
         .join(shared, ["site_lat", "site_lon"])
@@ -96,12 +101,21 @@ def _cells(edge_km: Column) -> dict[str, Column]:
     }
 
 
-def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFrame:
-    """Pairs of distinct sites in the same or in touching cells, cells as wide as the reach.
+def _part_of(parts: str) -> Column:
+    return F.pmod(F.xxhash64("site.ID"), F.col(parts))
+
+
+def _every_part(parts: str) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(parts) - 1))
+
+
+def _met(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFrame:
+    """Sites beside those of the same or a touching cell, cells as wide as the reach.
 
     The reach may be a scalar subquery; as a column of its own it is evaluated once.
-    With ``spread`` the sites of a crowded cell are divided over several tasks and the
-    sites they are compared with are repeated for each of them.
+    With ``spread`` a crowded cell is divided into parts on both sides: each part at home
+    meets each visiting part of a neighbour on its own, so no task compares more than two
+    parts. Sites are repeated only for cells that exist.
     """
     edge = F.greatest(F.col("reach_km"), F.lit(_LEAST_EDGE_KM)) * (1 + 1e-9)
     home = sites.withColumn("reach_km", reach_km).select(
@@ -113,25 +127,36 @@ def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFram
             for o in _OFFSETS
         )
     )
-    visiting = home.select("site", "N", *_CELL, F.explode(offsets).alias("offset")).select(
-        F.col("site").alias("other"),
-        F.col("N").alias("n_other"),
-        F.col("offset.inside").alias("inside"),
-        *((F.col(c) + F.col("offset")[c]).alias(c) for c in _CELL),
-    )
+    shifted = [(F.col(c) + F.col("offset")[c]).alias(c) for c in _CELL]
+    visitor = [F.col("site").alias("other"), F.col("N").alias("n_other")]
     keys = list(_CELL)
     if spread:
         parts = home.groupBy(*_CELL).agg(F.ceil(F.count(F.lit(1)) / _ROWS_PER_TASK).alias("parts"))
-        home = home.join(parts, _CELL).withColumn(
-            "part", F.pmod(F.xxhash64("site.ID"), F.col("parts"))
+        calls = parts.select(F.col("parts").alias("parts_other"), *_CELL, F.explode(offsets).alias("offset"))
+        blocks = parts.join(calls.select("parts_other", "offset", *shifted), _CELL)
+        from_cells = blocks.select(
+            "parts", "parts_other", "offset", *((F.col(c) - F.col("offset")[c]).alias(c) for c in _CELL)
+        )
+        visiting = home.join(from_cells, _CELL).select(
+            *visitor, "offset", *shifted, _every_part("parts").alias("part"), _part_of("parts_other").alias("part_other")
+        )
+        home = home.join(blocks, _CELL).select(
+            "site", "N", "reach_km", "offset", *_CELL,
+            _part_of("parts").alias("part"), _every_part("parts_other").alias("part_other"),
         )
-        visiting = visiting.join(parts, _CELL).withColumn(
-            "part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+        keys += ["offset", "part", "part_other"]
+    else:
+        visiting = home.select("site", "N", *_CELL, F.explode(offsets).alias("offset")).select(
+            *visitor, "offset", *shifted
         )
-        keys.append("part")
+    return home.join(visiting, keys)
+
+
+def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFrame:
+    """Pairs of distinct sites in the same or in touching cells, with their distance."""
     # Inside a cell every pair meets in both orders, across cells only in one.
-    met = home.join(visiting, keys).where(
-        F.when(F.col("inside"), F.col("site.ID") < F.col("other.ID")).otherwise(
+    met = _met(sites, reach_km, spread=spread).where(
+        F.when(F.col("offset.inside"), F.col("site.ID") < F.col("other.ID")).otherwise(
             F.col("site.ID") != F.col("other.ID")
         )
     )
@@ -146,29 +171,34 @@ def _neighbours(sites: DataFrame, reach_km: Column, *, spread: bool) -> DataFram
     ).withColumn("DISTANCE_KM", _distance())
 
 
-def pairs_within(stations: DataFrame, max_km: float | Column) -> DataFrame:
-    """Pairs at most ``max_km`` apart, each once with ``ID_A < ID_B``, and their distance.
+def pairs_within(
+    stations: DataFrame, max_km: float | Column, *, sites: DataFrame | None = None
+) -> DataFrame:
+    """Pairs of sites at most ``max_km`` apart, each once with ``ID_A < ID_B``, and their distance.
 
-    N_A and N_B tell how many stations stand at either position; stations at the very
-    same position appear as one row each, paired with the smallest ID there (see
-    ``site_members``). The number of pairs compared is within a constant factor of the
+    A site is a position, under the smallest ID there; N_A and N_B tell how many stations
+    stand at either. Stations at the very same position appear as one row each, paired with
+    the smallest ID there. Joined with ``site_members`` on both sides this gives every pair
+    of stations, without writing out the square of a crowded position. The number of pairs compared is within a constant factor of the
     number of pairs found, because a cell is only as wide as the radius.
     """
     if not isinstance(max_km, Column) and max_km < 0:
         raise ValueError("max_km must not be negative")
     reach = max_km if isinstance(max_km, Column) else F.lit(float(max_km))
-    near = _neighbours(_sites(stations), reach, spread=True)
+    sites = fold_sites(stations) if sites is None else sites
+    near = _neighbours(sites, reach, spread=True)
     near = near.where(F.col("DISTANCE_KM") <= F.col("reach_km")).drop("reach_km")
-    return near.unionByName(_same_position(stations))
+    return near.unionByName(_same_position(stations, sites))
 
 
-def mean_spacing_km(stations: DataFrame) -> DataFrame:
+def mean_spacing_km(stations: DataFrame, *, sites: DataFrame | None = None) -> DataFrame:
     """Edge of the square each position would have if all were spread evenly; one row.
 
     As a radius it keeps the number of near pairs proportional to the number of stations.
     """
     area = 4 * 3.141592653589793 * EARTH_RADIUS_KM**2
-    return _sites(stations).agg(F.sqrt(F.lit(area) / F.count(F.lit(1))).alias("SPACING_KM"))
+    sites = fold_sites(stations) if sites is None else sites
+    return sites.agg(F.sqrt(F.lit(area) / F.count(F.lit(1))).alias("SPACING_KM"))
 
 
 def _finest_shared_level(sites: DataFrame, steps: range, base: Column) -> Column:
@@ -185,7 +215,7 @@ def _finest_shared_level(sites: DataFrame, steps: range, base: Column) -> Column
     return shared.agg(F.max("level")).scalar()
 
 
-def closest_pair(stations: DataFrame) -> DataFrame:
+def closest_pair(stations: DataFrame, *, sites: DataFrame | None = None) -> DataFrame:
     """The closest pair as one row; empty when there are fewer than two located stations.
 
     Two sites sharing a cell of some size are at most its diagonal apart. The finest
@@ -194,14 +224,14 @@ def closest_pair(stations: DataFrame) -> DataFrame:
     a fixed number of sites. Comparing neighbouring cells is then exact and linear.
     Of equally close pairs the one with the smallest IDs is returned.
     """
-    sites = _sites(stations)
+    sites = fold_sites(stations) if sites is None else sites
     coarse = _finest_shared_level(sites, range(0, _LEVELS, _STRIDE), F.lit(0))
     level = _finest_shared_level(sites, range(_STRIDE), coarse)
     bound = F.sqrt(F.lit(3.0)) * (2 * EARTH_RADIUS_KM) / F.pow(F.lit(2.0), level)
     return (
         _neighbours(sites, bound, spread=False)
         .drop("reach_km")
-        .unionByName(_same_position(stations))
+        .unionByName(_same_position(stations, sites))
         .drop("N_A", "N_B")
         .orderBy(F.asc_nulls_last("DISTANCE_KM"), "ID_A", "ID_B")
         .limit(1)

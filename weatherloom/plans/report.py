@@ -7,6 +7,7 @@ or elements read the rollup, a small fraction of the observations.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from weatherloom.sources import dimensions, files, observations, sinks
 
 @dataclass(frozen=True)
 class Tables:
-    """The landed tables; ``facts`` holds the raw files' paths and sizes."""
+    """The landed tables; ``facts`` holds the raw files' paths and sizes, ``out`` is where all are."""
 
     daily: DataFrame
     rollup: DataFrame
@@ -26,6 +27,12 @@ class Tables:
     countries: DataFrame
     inventory: DataFrame
     facts: DataFrame
+    out: str
+
+    def land(self, df: DataFrame, name: str) -> DataFrame:
+        """Write what several answers share; a path of its own, as earlier answers may still read theirs."""
+        path = sinks.save(df, f"{self.out}/{name}-{uuid.uuid4().hex}")
+        return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def prepare(
@@ -43,8 +50,9 @@ def prepare(
     raw = dimensions.read_dimensions(
         spark, stations=stations, countries=countries, states=states, inventory=inventory
     )
+    facts = files.file_facts(spark, daily)
     landed_path = observations.land_observations(
-        observations.read_observations(spark, daily), f"{out}/observations"
+        observations.read_observations(spark, daily), f"{out}/observations", facts=facts
     )
     landed = observations.read_landed(spark, landed_path)
     rollup_path = sinks.save(
@@ -63,7 +71,8 @@ def prepare(
         enriched=spark.read.parquet(enriched_path),
         countries=raw["countries"],
         inventory=raw["inventory"],
-        facts=files.file_facts(spark, daily),
+        facts=facts,
+        out=out,
     )
 
 
@@ -98,10 +107,16 @@ def observation_answers(tables: Tables) -> dict[str, DataFrame]:
 
 
 def country_answers(tables: Tables, country: str = "NZ") -> dict[str, DataFrame]:
-    """One country's stations, distances and temperature series."""
+    """One country's stations, distances and temperature series.
+
+    The country's temperatures and their monthly means are landed first, so the
+    observations are read once for all answers.
+    """
     local = counts.country_stations(tables.enriched, country)
-    temperatures = series.temperature_observations(tables.daily, tables.enriched, country=country)
-    monthly = series.monthly_means(temperatures)
+    temperatures = tables.land(
+        series.temperature_observations(tables.daily, tables.enriched, country=country), f"temperatures-{country}"
+    )
+    monthly = tables.land(series.monthly_means(temperatures), f"monthly-{country}")
     return {
         "stations": local,
         "closest_pair": pairs.closest_pair(local),
@@ -123,12 +138,16 @@ def rainfall_answers(
 ) -> dict[str, DataFrame]:
     """Country-year rainfall with its statistics, doubts and the map table of one year.
 
+    The means, one row per country and year, are landed first.
     ``mapping`` (the key column and ISO3) is the caller's; without one the map table has no ISO3.
     """
-    means = rainfall.country_year_means(
-        tables.rollup,
-        tables.enriched.select("ID", "COUNTRY_CODE", "COUNTRY_NAME"),
-        without_years=without_years,
+    means = tables.land(
+        rainfall.country_year_means(
+            tables.rollup,
+            tables.enriched.select("ID", "COUNTRY_CODE", "COUNTRY_NAME"),
+            without_years=without_years,
+        ),
+        "rainfall-means",
     )
     highest = rainfall.highest_means(means)
     of_year = rainfall.means_for_year(means, year)

@@ -38,9 +38,9 @@ def _written(spark: SparkSession, name: str, lines: DataFrame, compression: str
     return path
 
 
-def _csv_lines(daily: DataFrame) -> DataFrame:
+def _csv_lines(daily: DataFrame, *kept: str) -> DataFrame:
     texts = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _OBSERVATION)
-    return daily.select(F.concat_ws(",", *texts).alias("value"))
+    return daily.select(*kept, F.concat_ws(",", *texts).alias("value"))
 
 
 def _station_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,11 +166,46 @@ def csv_gz_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(means.schema).option("header", True).csv(path)
 
 
-@query("file_sizes")
+_LINE_BYTES = """strlen(concat_ws(',', CAST(ID AS VARCHAR), DATE, ELEMENT,
+                   CAST(CAST(VALUE AS BIGINT) AS VARCHAR) || '.0', '', coalesce(QUALITY_FLAG, ''),
+                   SOURCE_FLAG, OBSERVATION_TIME)) + 1"""
+
+_SIZE_TEXT = """CASE WHEN SIZE < 1024 THEN format('{:,.2f} B', SIZE / 1e0)
+                    WHEN SIZE < 1048576 THEN format('{:,.2f} KB', SIZE / 1024e0)
+                    WHEN SIZE < 1073741824 THEN format('{:,.2f} MB', SIZE / 1048576e0)
+                    ELSE format('{:,.2f} GB', SIZE / 1073741824e0) END"""
+
+
+@query(
+    "file_sizes",
+    D.given(
+        "daily",
+        then=f"""
+        SELECT YEAR, SIZE, round(SIZE / sum(SIZE) OVER (), 6) AS SHARE, {_SIZE_TEXT} AS SIZE_TEXT
+        FROM (SELECT YEAR, CAST(sum({_LINE_BYTES}) AS BIGINT) AS SIZE FROM daily GROUP BY YEAR)""",
+    ),
+)
 def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = files.file_facts(spark, sf_dir, pattern="*.parquet")
-    named = facts.withColumn("DATASET", F.regexp_extract("path", r"([^/]+)\.parquet", 1))
-    return files.size_shares(named, "DATASET")
+    """Lengths of the plain text files of each year; how many files there are is up to Spark."""
+    daily = C.with_year(D.order_observations(spark, sf_dir))
+    path = sinks.shared_path(spark, "text-by-year")
+    sinks.packed_by(_csv_lines(daily, "YEAR"), "YEAR").write.partitionBy("YEAR").text(path)
+    of_year = F.regexp_extract("path", r"/YEAR=(\d+)/", 1).cast("bigint")
+    return files.size_shares(files.file_facts(spark, path).select(of_year.alias("YEAR"), "size"), "YEAR").drop("N_FILES")
+
+
+@query(
+    "read_year_file",
+    D.given("daily", then="SELECT * EXCLUDE (YEAR) REPLACE (CAST(ID AS VARCHAR) AS ID) FROM daily WHERE YEAR = 1997"),
+)
+def read_year_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two years are written, each under its own name; one is read."""
+    daily = C.with_year(D.order_observations(spark, sf_dir))
+    root = sinks.shared_path(spark, "years")
+    for year in (1996, 1997):
+        lines = _csv_lines(daily.where(F.col("YEAR") == year))
+        lines.write.option("compression", "gzip").text(f"{root}/{year}.csv.gz")
+    return observations.read_observations(spark, root, year=1997)
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:

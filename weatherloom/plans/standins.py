@@ -82,6 +82,18 @@ def customer_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shared_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of which those of one segment stand at one position for each nation."""
+    crowded = F.col("GSN_FLAG") == "GSN"
+    nation = F.ascii(F.substring("COUNTRY_CODE", 2, 1)) - 65
+    return customer_stations(spark, sf_dir).withColumns(
+        {
+            "LATITUDE": F.when(crowded, nation * 2.5 - 30.0).otherwise(F.col("LATITUDE")),
+            "LONGITUDE": F.when(crowded, nation * 7.0).otherwise(F.col("LONGITUDE")),
+        }
+    )
+
+
 def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("ID"),
@@ -185,6 +197,14 @@ CTES = {
                CAST(NULL AS VARCHAR) AS WMO_ID,
                'N' || chr(c_nationkey + 65) AS COUNTRY_CODE
         FROM customer""",
+    "shared_stations": """
+        SELECT * REPLACE (
+            CASE WHEN GSN_FLAG = 'GSN' THEN (ascii(substr(COUNTRY_CODE, 2, 1)) - 65) * 2.5e0 - 30e0 ELSE LATITUDE END AS LATITUDE,
+            CASE WHEN GSN_FLAG = 'GSN' THEN (ascii(substr(COUNTRY_CODE, 2, 1)) - 65) * 7e0 ELSE LONGITUDE END AS LONGITUDE)
+        FROM stations""",
+    "sites": """
+        SELECT LATITUDE, LONGITUDE, min(ID) AS ID, arg_min(NAME, ID) AS NAME, count(*) AS N
+        FROM shared_stations WHERE LATITUDE IS NOT NULL GROUP BY ALL""",
     "suppliers": f"""
         SELECT s_suppkey AS ID,
                {_LAT.format(k='s_suppkey')} AS LATITUDE,

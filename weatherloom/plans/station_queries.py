@@ -12,6 +12,7 @@ from weatherloom.functions.geo import haversine_km
 from weatherloom.operators import counts, enrich, integrity, pairs
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
+from weatherloom.sources import sinks
 
 YEAR = 2001
 
@@ -248,12 +249,22 @@ def distance_to_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.customer_stations(spark, sf_dir).select("ID", distance.alias("DISTANCE_KM"))
 
 
+def _landed_sites(spark: SparkSession, stations: DataFrame) -> DataFrame:
+    return spark.read.parquet(sinks.save(pairs.fold_sites(stations), sinks.shared_path(spark, "sites")))
+
+
 _PAIRS = f"""
     SELECT a.ID AS ID_A, a.LATITUDE AS LAT_A, a.LONGITUDE AS LON_A, a.NAME AS NAME_A,
            b.ID AS ID_B, b.LATITUDE AS LAT_B, b.LONGITUDE AS LON_B, b.NAME AS NAME_B,
            {D.haversine_sql('a', 'b')} AS DISTANCE_KM
     FROM stations a JOIN stations b ON a.ID < b.ID"""
 
+_SITE_PAIRS = f"""
+    SELECT a.ID AS ID_A, a.LATITUDE AS LAT_A, a.LONGITUDE AS LON_A, a.NAME AS NAME_A, a.N AS N_A,
+           b.ID AS ID_B, b.LATITUDE AS LAT_B, b.LONGITUDE AS LON_B, b.NAME AS NAME_B, b.N AS N_B,
+           {D.haversine_sql('a', 'b')} AS DISTANCE_KM
+    FROM sites a JOIN sites b ON a.ID < b.ID"""
+
 _PAIR_COLUMNS = """ID_A, round(LAT_A, 6) AS LAT_A, round(LON_A, 6) AS LON_A, NAME_A,
     ID_B, round(LAT_B, 6) AS LAT_B, round(LON_B, 6) AS LON_B, NAME_B, round(DISTANCE_KM, 6) AS DISTANCE_KM"""
 
@@ -261,18 +272,37 @@ _PAIR_COLUMNS = """ID_A, round(LAT_A, 6) AS LAT_A, round(LON_A, 6) AS LON_A, NAM
 @query(
     "pairs_within",
     D.given(
-        "stations",
+        "stations", "shared_stations", "sites",
         then=f"""
-        SELECT {_PAIR_COLUMNS} FROM ({_PAIRS})
-        WHERE DISTANCE_KM <= 0.5 * sqrt(4 * pi() * 6371e0 * 6371e0
-              / (SELECT count(*) FROM stations WHERE LATITUDE IS NOT NULL))""",
+        SELECT {_PAIR_COLUMNS}, N_A, N_B FROM ({_SITE_PAIRS})
+        WHERE DISTANCE_KM <= 0.5 * sqrt(4 * pi() * 6371e0 * 6371e0 / (SELECT count(*) FROM sites))
+        UNION ALL
+        SELECT {_PAIR_COLUMNS}, 1, 1
+        FROM (SELECT s.ID AS ID_A, s.LATITUDE AS LAT_A, s.LONGITUDE AS LON_A, s.NAME AS NAME_A,
+                     m.ID AS ID_B, m.LATITUDE AS LAT_B, m.LONGITUDE AS LON_B, m.NAME AS NAME_B, 0e0 AS DISTANCE_KM
+              FROM sites s JOIN shared_stations m
+                ON s.LATITUDE = m.LATITUDE AND s.LONGITUDE = m.LONGITUDE AND m.ID > s.ID)""",
     ),
 )
 def pairs_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs closer than half the mean spacing, so their number grows with the stations."""
-    stations = D.customer_stations(spark, sf_dir)
-    radius = pairs.mean_spacing_km(stations).scalar() * 0.5
-    return pairs.pairs_within(stations, radius).drop("N_A", "N_B")
+    """Sites closer than half the mean spacing, so their number grows with the stations."""
+    stations = D.shared_stations(spark, sf_dir)
+    sites = _landed_sites(spark, stations)
+    radius = pairs.mean_spacing_km(stations, sites=sites).scalar() * 0.5
+    return pairs.pairs_within(stations, radius, sites=sites)
+
+
+@query(
+    "site_members",
+    D.given(
+        "stations", "shared_stations", "sites",
+        then="""
+        SELECT s.ID AS SITE_ID, m.ID
+        FROM sites s JOIN shared_stations m ON s.LATITUDE = m.LATITUDE AND s.LONGITUDE = m.LONGITUDE""",
+    ),
+)
+def site_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.site_members(D.shared_stations(spark, sf_dir))
 
 
 @query(
@@ -285,4 +315,5 @@ def pairs_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def closest_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.closest_pair(D.customer_stations(spark, sf_dir))
+    stations = D.customer_stations(spark, sf_dir)
+    return pairs.closest_pair(stations, sites=_landed_sites(spark, stations))

@@ -8,7 +8,10 @@ from pyspark.sql import types as T
 
 from weatherloom.functions import columns as C
 from weatherloom.schema import observations_schema
-from weatherloom.sources.sinks import packed_by
+
+#: What one bucket of a year holds: bytes of its (compressed) files, or rows where no files are given.
+BUCKET_BYTES = 32 * 1024 * 1024
+BUCKET_ROWS = 4_000_000
 
 
 def read_observations(
@@ -24,17 +27,39 @@ def read_observations(
     return spark.read.schema(observations_schema()).csv(path)
 
 
-def land_observations(daily: DataFrame, path: str, *, mode: str = "overwrite") -> str:
+def land_observations(
+    daily: DataFrame,
+    path: str,
+    *,
+    facts: DataFrame | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
+    bucket_rows: int = BUCKET_ROWS,
+    mode: str = "overwrite",
+) -> str:
     """Write observations as Parquet, one directory per YEAR.
 
-    The rebalance hint lets adaptive execution split a year too large for one task
-    and merge small ones, so neither a hot year nor thousands of tiny files arise.
-    Sorting inside a file narrows the min/max ranges of ELEMENT and ID, by which a
-    reader skips row groups. DATE is kept as text: nothing is lost for dates that do
-    not exist, and a year of it is only a small dictionary.
+    A year is divided into buckets by its size: from ``facts`` (``files.file_facts`` of
+    the files read), else from its number of rows, which reads ``daily`` once more. A
+    year without a file of its own in ``facts`` is one bucket. A bucket is taken from ID
+    and DATE, so a year that came in one unsplittable file, or from one station, is still
+    sorted and written by many tasks; adaptive execution merges small buckets. Sorting
+    inside a file narrows the min/max ranges of ELEMENT and ID, by which a reader skips
+    row groups. DATE is kept as text: nothing is lost for dates that do not exist, and a
+    year of it is only a small dictionary.
     """
-    rows = packed_by(C.with_year(daily), "YEAR").sortWithinPartitions("YEAR", "ELEMENT", "ID", "DATE")
-    rows.write.mode(mode).partitionBy("YEAR").parquet(path)
+    dated = C.with_year(daily)
+    if facts is None:
+        sizes = dated.groupBy("YEAR").agg((F.count(F.lit(1)) / bucket_rows).alias("size"))
+    else:
+        sizes = facts.groupBy(F.col("year").alias("YEAR")).agg((F.sum("size") / bucket_bytes).alias("size"))
+    # One row per year, as many as there are directories to write: always small.
+    buckets = F.broadcast(sizes.select(F.col("YEAR").alias("sized_year"), F.ceil("size").alias("n_buckets")))
+    divided = dated.join(buckets, F.col("YEAR").eqNullSafe(F.col("sized_year")), "left").select(
+        *dated.columns,
+        F.pmod(F.xxhash64("ID", "DATE"), F.greatest(F.col("n_buckets"), F.lit(1).cast("bigint"))).alias("bucket"),
+    )
+    packed = divided.hint("rebalance", "YEAR", "bucket").sortWithinPartitions("YEAR", "ELEMENT", "ID", "DATE")
+    packed.drop("bucket").write.mode(mode).partitionBy("YEAR").parquet(path)
     return path
 
 
