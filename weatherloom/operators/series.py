@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from weatherloom.functions import columns as C
 from weatherloom.operators.counts import country_stations
+from weatherloom.operators.integrity import with_station_columns
 from weatherloom.operators.sizing import BROADCAST_LIMIT, broadcast_if_small
 
 TEMPERATURES = ("TMIN", "TMAX")
@@ -39,10 +40,19 @@ def _mean_in_units() -> Column:
     return C.in_units(F.col("ELEMENT"), F.avg("VALUE"))
 
 
-def monthly_means(temperatures: DataFrame) -> DataFrame:
-    """Mean TEMP_C per station, element and month."""
+def monthly_means(temperatures: DataFrame, stations: DataFrame | None = None) -> DataFrame:
+    """Mean TEMP_C per station, element and month, with the station's NAME.
+
+    With ``stations`` the observations need no NAME: it is joined to the monthly rows, so
+    raw rows neither meet the stations nor carry a name through the shuffle. Stations
+    not listed there have a null NAME.
+    """
     month = C.month_start_of(temperatures).alias("YEAR_MONTH")
-    return temperatures.groupBy("ID", "NAME", "ELEMENT", month).agg(_mean_in_units().alias("TEMP_C"))
+    own = ["ID", "ELEMENT"] if stations is not None else ["ID", "NAME", "ELEMENT"]
+    means = temperatures.groupBy(*own, month).agg(_mean_in_units().alias("TEMP_C"))
+    if stations is not None:
+        means = with_station_columns(means, stations.select("ID", "NAME"))
+    return means.select("ID", "NAME", "ELEMENT", "YEAR_MONTH", "TEMP_C")
 
 
 def country_monthly_means(temperatures: DataFrame, *, weighting: str = "observation") -> DataFrame:

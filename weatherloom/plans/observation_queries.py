@@ -282,12 +282,17 @@ def temperature_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    temperatures = D.line_observations(spark, sf_dir).where(F.col("ELEMENT").isin(*series.TEMPERATURES))
+    return series.monthly_means(temperatures, D.supplier_stations(spark, sf_dir))
+
+
 @query(
     "monthly_means",
     D.given("monthly", then="SELECT ID, NAME, ELEMENT, YEAR_MONTH, round(TEMP_C, 6) AS TEMP_C FROM monthly"),
 )
 def monthly_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.monthly_means(D.line_temperatures(spark, sf_dir))
+    return _monthly(spark, sf_dir)
 
 
 @query(
@@ -353,7 +358,7 @@ def _given_dense(then: str) -> str:
     ),
 )
 def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.rolling_mean(series.monthly_means(D.line_temperatures(spark, sf_dir))).drop("NAME")
+    return series.rolling_mean(_monthly(spark, sf_dir)).drop("NAME")
 
 
 @query(
@@ -363,7 +368,7 @@ def rolling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def dense_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = series.monthly_means(D.line_temperatures(spark, sf_dir))
+    monthly = _monthly(spark, sf_dir)
     path = sinks.save(monthly, sinks.shared_path(spark, "monthly"))
     return series.dense_months(series.rolling_mean(spark.read.parquet(path)))
 
