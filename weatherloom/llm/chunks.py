@@ -1,4 +1,4 @@
-"""Substring dedup: content-defined chunks, found again by digest."""
+"""Substring dedup: pieces at content-defined cuts, found again by digest and extended byte by byte."""
 
 from __future__ import annotations
 
@@ -8,24 +8,25 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import text_hash, tidy_map, written
-
-MIN_CHUNK = 16
-MAX_CHUNK = 1024
-#: Of the places after white space one in so many is a cut.
-CUT_EVERY = 5
-#: Repeated chunks go where so many bytes of them stand together.
+from weatherloom.llm.common import BROADCAST_ROWS, text_hash, tidy_map, written
+
+#: Of so many neighbouring places the one with the least hash is a cut.
+CUT_WINDOW = 64
+#: Bytes from a cut on that are looked for elsewhere; not less than CUT_WINDOW, so that they cover the text.
+PIECE = 64
+#: No two cuts are further apart; a text starts and ends with at most so many bytes without one.
+MAX_CHUNK = CUT_WINDOW + PIECE
+#: What is repeated goes where so many bytes of it stand together.
 MIN_RUN = 96
 _WINDOW = 16
 _STEP = 1 << 20
 #: One random number per byte value, for the gear hash.
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, np.uint32)
-_EDGE = np.zeros(256, bool)
-_EDGE[[0x20, 0x0A, 0x09, 0x0D]] = True
+_SPREAD = np.uint32(0x9E3779B1)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -38,38 +39,59 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunk_ends(data: np.ndarray) -> list[int]:
-    """Where the chunks of one text end. A cut follows white space where the hash of the 16 bytes before says so.
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Where the pieces of one text start: at the least hash of every CUT_WINDOW neighbouring places.
 
-    Only these bytes decide, so an insertion changes the chunks around it and no others. Chunks
-    have at least MIN_CHUNK bytes; without a cut one ends before a character near MAX_CHUNK.
+    The hash is of the 16 bytes from a place on, only starts of characters count, and of equal hashes the
+    first one is least. So the bytes around decide alone, whatever the script, and any MAX_CHUNK - 1 bytes
+    that two texts share hold a piece at the same place in both. A text too short for that has one cut, one
+    shorter than PIECE none.
     """
-    size = len(data)
-    places = []
-    for a in range(0, size, _STEP):
-        lead = max(0, a - _WINDOW)
-        part = data[lead : a + _STEP]
-        at = np.flatnonzero(_EDGE[part] & (gear_hashes(part) < (1 << 32) // CUT_EVERY)) + lead + 1
-        places.append(at[at > a])
-    ends, last = [], 0
-    for place in [*(np.concatenate(places).tolist() if places else []), size]:
-        while place - last > MAX_CHUNK:
-            cut = last + MAX_CHUNK
-            while cut > last + 1 and data[cut] & 0xC0 == 0x80:
-                cut -= 1
-            ends.append(cut)
-            last = cut
-        if place - last >= MIN_CHUNK or place == size and place > last:
-            ends.append(place)
-            last = place
-    return ends
+    places = len(data) - PIECE + 1
+    if places < 1:
+        return np.zeros(0, np.int64)
+    found = []
+    for a in range(0, max(places - CUT_WINDOW + 1, 1), _STEP):
+        stop = min(a + _STEP + CUT_WINDOW - 1, places)
+        part = data[a : stop + _WINDOW - 1]
+        h = gear_hashes(part)[_WINDOW - 1 :] * _SPREAD
+        h ^= h >> np.uint32(15)
+        h[part[: len(h)] & 0xC0 == 0x80] = 0xFFFFFFFF
+        least = (h.astype(np.uint64) << np.uint64(32)) + np.arange(len(h), dtype=np.uint64)
+        if len(least) < CUT_WINDOW:
+            least = least.min(keepdims=True)
+        else:
+            width = 1
+            while width < CUT_WINDOW:
+                least = np.minimum(least[:-width], least[width:])
+                width *= 2
+        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
+        found.append(at[np.diff(at, prepend=-1) > 0])
+    at = np.concatenate(found)
+    at = at[np.diff(at, prepend=-1) > 0]
+    return at[data[at] & 0xC0 != 0x80]
 
 
-def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, start, size, again, d1, d2): the chunks of every whole text.
+def chunk_ends(data: np.ndarray) -> list[int]:
+    """Where the chunks between the cuts of one text end; none is longer than MAX_CHUNK."""
+    return [c for c in cuts(data).tolist() if c] + [len(data)] * (len(data) > 0)
 
-    d1 and d2 are a 128-bit digest; again says that the text has had the chunk before.
-    """
+
+def _pieces(text: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """(starts, digests) of the pieces of a text; of equal ones within CUT_WINDOW only as many as cover it."""
+    raw = text.tobytes()
+    starts = cuts(text).tolist()
+    digests = [xxhash.xxh3_128_digest(raw[a : a + PIECE]) for a in starts]
+    kept: list[int] = []
+    for i, d in enumerate(digests):
+        inner = kept and i + 1 < len(digests) and digests[i - 1] == d == digests[i + 1]
+        if not inner or starts[i + 1] - starts[kept[-1]] > CUT_WINDOW:
+            kept.append(i)
+    return [starts[i] for i in kept], [digests[i] for i in kept]
+
+
+def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, start, d1, d2): the pieces of every whole text; d1 and d2 are a 128-bit digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -77,66 +99,132 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             parts: list[tuple] = []
             held = 0
             for row in range(len(batch)):
-                text = data[offsets[row] : offsets[row + 1]]
-                ends = chunk_ends(text)
-                raw = text.tobytes()
-                digests = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip([0, *ends], ends)]
-                seen: set[bytes] = set()
-                again = [d in seen or seen.add(d) is not None for d in digests]
-                parts.append((row, ends, digests, again))
-                held += len(ends)
+                parts.append((row, *_pieces(data[offsets[row] : offsets[row + 1]])))
+                held += len(parts[-1][1])
                 if held > 200_000:
                     yield _chunk_batch(batch, parts)
                     parts, held = [], 0
             yield _chunk_batch(batch, parts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    return tidy_map(rows, run, "doc_id long, text_hash long, start int, size int, again boolean, d1 long, d2 long")
+    return tidy_map(rows, run, "doc_id long, text_hash long, start int, d1 long, d2 long")
 
 
 def _chunk_batch(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
     rows = pa.array(np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]).astype(np.int32))
-    ends = np.array([e for p in parts for e in p[1]], np.int32)
-    sizes = np.concatenate([np.zeros(0, np.int64), *(np.diff(p[1], prepend=0) for p in parts if p[1])]).astype(np.int32)
+    starts = np.array([a for p in parts for a in p[1]], np.int32)
     marks = np.frombuffer(b"".join(d for p in parts for d in p[2]), "<i8").reshape(-1, 2)
-    again = pa.array([x for p in parts for x in p[3]], pa.bool_())
-    arrays = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(ends - sizes), pa.array(sizes), again, pa.array(marks[:, 0]), pa.array(marks[:, 1])]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "start", "size", "again", "d1", "d2"])
+    arrays = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts), pa.array(marks[:, 0]), pa.array(marks[:, 1])]
+    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "start", "d1", "d2"])
+
+
+_RUN = "struct<start:int,end:int,f_id:long,f_hash:long,f_start:int,f_end:int>"
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """(doc_id, text_hash, removed, kept): byte ranges (start, end) of the documents that lose something.
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_hash, runs): byte ranges that an earlier place has too, with the bytes around that place.
 
-    A chunk is repeated if the text has had its digest before or a document with a smaller doc_id has
-    it; ids that are null come last. So each chunk stays where its first document has it first; rows
-    that share that doc_id all keep it. Digests are counted before they meet, so a chunk under a third
-    of all rows is one row on one side, and the other side is dealt out anew where it is uneven.
+    Places go by (doc_id, text_hash, start), null ids last, so each piece stays at its first place; only
+    rows equal in id and text keep the same pieces. Pieces that follow each other here and there are one
+    run. Digests are counted before they meet, so a piece under a third of all rows is one row on
+    one side, and the other side is dealt out anew where it is uneven; so are the bytes around.
     """
-    order = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1))
-    chunks = chunk_rows(docs, id_col, text_col)
-    firsts = written(chunks.groupBy("d1", "d2").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
-    again = chunks.join(firsts, ["d1", "d2"]).filter(F.col("again") | (order > F.col("first")))
-    spans = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "size")).alias("spans"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
+    pieces = chunk_rows(docs, id_col, text_col)
+    firsts = written(pieces.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
+    again = pieces.join(firsts, ["d1", "d2"]).filter(place > F.col("first"))
+    hit = F.struct("start", F.col("first.doc_id").alias("f_id"), F.col("first.text_hash").alias("f_hash"), F.col("first.start").alias("f_start"))
+    hits = again.groupBy("doc_id", "text_hash").agg(F.collect_set(hit).alias("hits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            removed = [runs([(x["start"], x["size"]) for x in spans], min_run) for spans in batch.column(2).to_pylist()]
-            full = pa.array([bool(r) for r in removed], pa.bool_())
-            kept = [list(zip([0, *(b for _, b in r)], [*(a for a, _ in r), (1 << 31) - 1])) for r in removed]
-            lists = [pa.array([[{"start": a, "end": b} for a, b in r] for r in rows], kind) for rows in (removed, kept)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "text_hash", "removed", "kept"]).filter(full)
+            found = [joined_pieces([tuple(x.values()) for x in hits]) for hits in batch.column(2).to_pylist()]
+            rows = pa.array(np.repeat(np.arange(len(batch)), [len(f) for f in found]).astype(np.int32))
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+            arrays = [pa.array([r[i] for f in found for r in f], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *arrays], ["doc_id", "text_hash", "start", "end", "f_id", "f_hash", "f_start", "f_end"])
+
+    runs = written(hits.mapInArrow(run, f"doc_id long, text_hash long, {_RUN[7:-1].replace(':', ' ')}"), "runs")
+    there = ["f_id", "f_hash", "f_start", "f_end"]
+    wanted = written(runs.select(*there).distinct().groupBy("f_id", "f_hash").agg(F.collect_list(F.struct("f_start", "f_end")).alias("places")), "wanted")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("binary").alias("data"))
+    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    theirs = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["f_id"]) & (rows["text_hash"] == wanted["f_hash"]))
+    theirs = theirs.select("f_id", "f_hash", "data", F.explode("places").alias("p")).select("f_id", "f_hash", "p.f_start", "p.f_end", "data")
+    lead = F.greatest(F.col("f_start") - MAX_CHUNK, F.lit(0))
+    before, after = F.substring("data", lead + 1, F.col("f_start") - lead), F.substring("data", F.col("f_end") + 1, F.lit(MAX_CHUNK))
+    theirs = theirs.select(*there, before.alias("before"), after.alias("after")).dropDuplicates(there).withColumnsRenamed({c: f"{c}_" for c in there})
+    same = runs["f_id"].eqNullSafe(theirs["f_id_"])
+    for c in there[1:]:
+        same &= runs[c] == theirs[f"{c}_"]
+    return runs.join(theirs, same).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end", "before", "after")).alias("runs"))
+
+
+def joined_pieces(hits: list[tuple]) -> list[tuple]:
+    """(start, end, f_id, f_hash, f_start, f_end) of pieces (start, f_id, f_hash, f_start) that touch here and there."""
+    out: list[list] = []
+    last: dict[tuple, list] = {}
+    for start, f_id, f_hash, f_start in sorted(hits, key=lambda hit: hit[0]):
+        key = (f_id, f_hash, f_start - start)
+        if key in last and start <= last[key][1]:
+            last[key][1], last[key][5] = start + PIECE, f_start + PIECE
+        else:
+            last[key] = [start, start + PIECE, f_id, f_hash, f_start, f_start + PIECE]
+            out.append(last[key])
+    return [tuple(r) for r in out]
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many bytes two arrays of one length have in common from their start."""
+    other = np.flatnonzero(a != b)
+    return int(other[0]) if len(other) else len(a)
+
+
+def extended(data: np.ndarray, start: int, end: int, before: bytes, after: bytes) -> tuple[int, int]:
+    """(start, end) with the bytes on both sides that are as at the first place, in whole characters."""
+    theirs = np.frombuffer(before, np.uint8)
+    n = min(start, len(theirs))
+    start -= _common(data[start - n : start][::-1], theirs[len(theirs) - n :][::-1])
+    theirs = np.frombuffer(after, np.uint8)
+    n = min(len(data) - end, len(theirs))
+    end += _common(data[end : end + n], theirs[:n])
+    while start < end and data[start] & 0xC0 == 0x80:
+        start += 1
+    while start < end < len(data) and data[end] & 0xC0 == 0x80:
+        end -= 1
+    return start, end
+
+
+_RANGES = "array<struct<start:int,end:int>>"
+
+
+def _cut_out(min_run: int, text: Column, runs_col: Column) -> Column:
+    """struct<removed, kept> of a text and its runs, null where it loses nothing."""
+
+    @F.arrow_udf(f"struct<removed:{_RANGES},kept:{_RANGES}>")
+    def ranges(text: pa.Array, found: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        data, offsets = ngrams.text_bytes(text)
+        rows = []
+        for row in range(len(text)):
+            own = data[offsets[row] : offsets[row + 1]]
+            spans = [extended(own, *x.values()) for x in found[row].as_py() or []]
+            gone = runs([(a, b - a) for a, b in spans], min_run)
+            kept = list(zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), (1 << 31) - 1]))
+            lists = [[{"start": a, "end": b} for a, b in r] for r in (gone, kept)]
+            rows.append(dict(zip(("removed", "kept"), lists)) if gone else None)
+        return pa.array(rows, pa.struct([("removed", kind), ("kept", kind)]))
 
-    ranges = "array<struct<start:int,end:int>>"
-    return spans.mapInArrow(run, f"doc_id long, text_hash long, removed {ranges}, kept {ranges}")
+    return ranges(F.when(runs_col.isNotNull(), text), runs_col)
 
 
 def runs(spans: list[tuple[int, int]], min_run: int = MIN_RUN) -> list[tuple[int, int]]:
-    """(start, end) of spans (start, size) that touch, where together they have at least ``min_run`` bytes."""
+    """(start, end) of spans (start, size) that touch or overlap, where together they have at least ``min_run`` bytes."""
     joined: list[list[int]] = []
     for start, size in sorted(spans):
-        if joined and joined[-1][1] == start:
-            joined[-1][1] = start + size
+        if joined and start <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], start + size)
         else:
             joined.append([start, start + size])
     return [(a, b) for a, b in joined if b - a >= min_run]
@@ -150,14 +238,14 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     become empty. A column of ``docs`` named removed_spans is replaced.
     """
     mark = uuid.uuid4().hex
-    found = repeated_runs(docs, id_col, text_col, min_run)
+    found = repeated_runs(docs, id_col, text_col)
     found = found.select(*(F.col(c).alias(f"{c}{mark}") for c in found.columns))
     same = docs[id_col].cast("long").eqNullSafe(found[f"doc_id{mark}"]) & (text_hash(docs[text_col]) == found[f"text_hash{mark}"])
     joined = docs.join(found, same, "left")
-    data = F.col(text_col).cast("binary")
-    left = F.array_join(F.transform(f"kept{mark}", lambda r: F.substring(data, r["start"] + 1, r["end"] - r["start"]).cast("string")), "")
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    removed = F.coalesce(F.col(f"removed{mark}"), none)
-    changed = joined.withColumns({f"t{mark}": F.when(F.col(f"kept{mark}").isNull(), F.col(text_col)).otherwise(left), f"r{mark}": removed})
+    data, parts = F.col(text_col).cast("binary"), F.col(f"p{mark}")
+    joined = joined.withColumn(f"p{mark}", _cut_out(min_run, F.col(text_col), F.col(f"runs{mark}")))
+    left = F.array_join(F.transform(parts["kept"], lambda r: F.substring(data, r["start"] + 1, r["end"] - r["start"]).cast("string")), "")
+    removed = F.coalesce(parts["removed"], F.array().cast(_RANGES))
+    changed = joined.withColumns({f"t{mark}": F.when(parts.isNull(), F.col(text_col)).otherwise(left), f"r{mark}": removed})
     columns = [F.col(f"t{mark}").alias(text_col) if c == text_col else F.col(c) for c in docs.columns if c != "removed_spans"]
     return changed.select(*columns, F.col(f"r{mark}").alias("removed_spans"))
