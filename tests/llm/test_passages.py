@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from weatherloom.llm import chunks
 
 
@@ -9,6 +11,11 @@ def left_of(docs):
     return {r["doc_id"]: r["text"] for r in chunks.deduplicated(docs).collect()}
 
 
+def words(rng, n, different):
+    known = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 9))) for _ in range(different)]
+    return " ".join(rng.choice(known) for _ in range(n))
+
+
 def test_unspaced_passage_is_found_shifted(docs_of):
     rng = random.Random(3)
     chars = [chr(c) for c in range(0x4E00, 0x5600)]
@@ -17,3 +24,43 @@ def test_unspaced_passage_is_found_shifted(docs_of):
         fronts = ["".join(rng.choices(filler, k=n)) for n in (200, 217)]
         left = left_of(docs_of([(1, fronts[0] + passage), (2, fronts[1] + passage)]))
         assert left == {1: fronts[0] + passage, 2: fronts[1]}
+
+
+@pytest.mark.parametrize("different", [51, 8, 2])
+def test_passages_of_51_words_go_whole(docs_of, different):
+    rng = random.Random(different)
+    rows, ends = [], {}
+    for k in range(60):
+        passage = words(rng, 51, different)
+        fronts = [f"<{2 * k + i}> {words(rng, 30, 30)} <" for i in (0, 1)]
+        rows += [(2 * k + i, f"{fronts[i]}{passage}>{i}") for i in (0, 1)]
+        ends[2 * k + 1] = (fronts[1], ">1", len(passage))
+    left = left_of(docs_of(rows))
+    assert all(left[2 * k] == rows[2 * k][1] for k in range(60)) or different == 2
+    for doc, (front, back, size) in ends.items():
+        if size >= chunks.MAX_CHUNK:
+            # The bytes beside a passage may happen to be equal as well, and parts of it may stand in it before.
+            assert len(left[doc]) <= len(front) + len(back)
+
+
+def test_border_bytes_and_characters(docs_of):
+    passage = words(random.Random(1), 51, 51)
+    # é and è share their first byte, which is not a character
+    left = left_of(docs_of([(1, "one é" + passage + "é end"), (2, "two ©" + passage + "è fin")]))
+    assert left[2] == "two ©è fin"
+
+
+def test_periodic_text_keeps_few_pieces():
+    import numpy as np
+
+    starts, digests = chunks._pieces(np.frombuffer(b"ab" * 20000, np.uint8))
+    assert len(starts) < 1000 and len(set(digests)) <= 2 and max(np.diff(starts)) <= chunks.CUT_WINDOW
+
+
+def test_joined_pieces_and_extension():
+    import numpy as np
+
+    hits = [(10, 1, 5, 40), (60, 1, 5, 90), (60 + 300, 1, 5, 390), (100, 2, 6, 0)]
+    assert sorted(chunks.joined_pieces(hits)) == [(10, 124, 1, 5, 40, 154), (100, 164, 2, 6, 0, 64), (360, 424, 1, 5, 390, 454)]
+    data = np.frombuffer("abcé-é".encode(), np.uint8)
+    assert chunks.extended(data, 3, 5, b"xbc", "-è".encode()) == (1, 6)
