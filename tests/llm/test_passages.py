@@ -64,3 +64,11 @@ def test_joined_pieces_and_extension():
     assert sorted(chunks.joined_pieces(hits)) == [(10, 124, 1, 5, 40, 154), (100, 164, 2, 6, 0, 64), (360, 424, 1, 5, 390, 454)]
     data = np.frombuffer("abcé-é".encode(), np.uint8)
     assert chunks.extended(data, 3, 5, b"xbc", "-è".encode()) == (1, 6)
+
+
+def test_different_texts_under_one_id_lose_what_they_share(docs_of):
+    passage = words(random.Random(5), 60, 60)
+    for doc_id in (7, None):
+        rows = [(doc_id, f"one {passage} end"), (doc_id, f"two {passage} fin"), (doc_id, f"two {passage} fin")]
+        left = [r["text"] for r in chunks.deduplicated(docs_of(rows)).collect()]
+        assert sum(passage in t for t in left) in (1, 2) and len({t for t in left if passage in t}) == 1
