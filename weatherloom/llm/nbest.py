@@ -20,7 +20,7 @@ NBEST = 3
 _SPACE = "▁"
 #: Stands for a space mark that is a character of the text; no text decoded from UTF-8 has it.
 _LITERAL = "\ud800"
-#: Pieces with a lower score are placeholders that no segmentation uses.
+#: Pieces with a lower score are placeholders that no segmentation uses, but for those of nothing but spaces.
 _LEAST_SCORE = -1e8
 #: A character that no piece covers is spelled in bytes at this much below the lowest score.
 _BYTE_PENALTY = 10.0
@@ -50,14 +50,14 @@ class Vocabulary:
             if processor.is_byte(i):
                 text = bytes([int(piece[3:5], 16)])
                 self.byte_ids[text[0]] = i
-            elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)) and _SPACE not in piece[1:] and (piece == _SPACE or score > _LEAST_SCORE):
+            elif not (processor.is_control(i) or processor.is_unknown(i) or processor.is_unused(i)) and (score > _LEAST_SCORE or not piece.strip(_SPACE)):
                 self.ids[piece] = (i, score)
                 text = piece.replace(_SPACE, " ").encode()
             texts.append(text)
         self.longest = max(map(len, self.ids))
         self.unknown = min(score for _, score in self.ids.values() if score > _LEAST_SCORE) - _BYTE_PENALTY
-        if _SPACE in self.ids:  # a placeholder in some models, but the only piece for a space by itself
-            self.ids[_SPACE] = (self.ids[_SPACE][0], max(self.ids[_SPACE][1], self.unknown))
+        for piece, (i, score) in self.ids.items():  # one or many spaces are placeholders in some models, but text all the same
+            self.ids[piece] = (i, max(score, self.unknown))
         self.sizes = np.array([len(t) for t in texts])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
@@ -126,17 +126,17 @@ def segmentations(vocabulary: Vocabulary, part: str, n: int) -> list[tuple[float
     """
     size, pieces, longest = len(part), vocabulary.ids, vocabulary.longest
     best = [0.0] + [-np.inf] * size
-    ending: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(size + 1)]
-    for a in range(size):
-        here = best[a]
-        if part[a] not in pieces:
-            ending[a + 1].append((a, tuple(vocabulary.spelled(part[a])), vocabulary.unknown))
-            best[a + 1] = max(best[a + 1], here + vocabulary.unknown)
-        for b in range(a + 1, min(a + longest, size) + 1):
-            found = pieces.get(part[a:b])
+
+    def ending(place: int) -> Iterator[tuple[int, tuple[int, ...], float]]:
+        for a in range(max(place - longest, 0), place):
+            found = pieces.get(part[a:place])
             if found is not None:
-                ending[b].append((a, (found[0],), found[1]))
-                best[b] = max(best[b], here + found[1])
+                yield a, (found[0],), found[1]
+            elif a == place - 1:
+                yield a, tuple(vocabulary.spelled(part[a])), vocabulary.unknown
+
+    for b in range(1, size + 1):
+        best[b] = max(best[a] + score for a, _, score in ending(b))
     open_paths: list[tuple] = [(-best[size], size, 0, 0.0, None)]
     count, out = 1, []
     while open_paths and len(out) < n:
@@ -148,7 +148,7 @@ def segmentations(vocabulary: Vocabulary, part: str, n: int) -> list[tuple[float
                 path = path[1]
             out.append((own, tuple(ids)))
             continue
-        for a, ids, score in ending[place]:
+        for a, ids, score in ending(place):
             heapq.heappush(open_paths, (-(best[a] + own + score), a, count, own + score, (ids, path)))
             count += 1
     return out
