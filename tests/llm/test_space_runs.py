@@ -39,3 +39,12 @@ def test_runs_of_spaces_against_all_pieces():
         assert encoder.decode(own).decode() == text
     code = encoder.encode(*ngrams.text_bytes(pa.array([" " * 15 + "x"])), 1)[0].tolist()
     assert processor.id_to_piece(code[0]) == SPACE * 16 or len(code) <= 3
+
+
+def test_ids_are_the_best_sum_and_not_the_merges_of_the_library():
+    processor = sentencepiece.SentencePieceProcessor(model_proto=nbest.read_model())
+    text = "the quick brown fox jumps over the lazy dog while nobody looks at tokenization"
+    ids = nbest.Encoder(nbest.Vocabulary(nbest.read_model())).encode(*ngrams.text_bytes(pa.array([text])), 1)[0].tolist()
+    merged = processor.encode(text)
+    assert sum(map(processor.get_score, ids)) > sum(map(processor.get_score, merged)) and len(ids) > len(merged)
+    assert "is not what the library's encode gives" in nbest.encoded.__doc__

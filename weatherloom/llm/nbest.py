@@ -381,7 +381,8 @@ def read_model(path: str = MODEL_PATH) -> bytes:
 def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = NBEST, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, ENCODED and round_trip of every row, whole texts.
 
-    ids: the segmentation with the highest sum of piece scores; characters without a piece, and a
+    ids: the segmentation with the highest sum of piece scores, which under a BPE model, whose scores are ranks of
+    merges, is not what the library's encode gives (README has the figures); characters without a piece, and a
     literal space mark, are spelled in byte pieces, so decoding gives the text back exactly, which
     round_trip says. nbest: up to ``n`` segmentations, best first, each as edits of ids (at, drop, put), in
     order of place. Null and empty texts have no ids and no segmentation; a null text comes back
