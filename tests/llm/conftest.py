@@ -48,6 +48,6 @@ def items(spark):
 @pytest.fixture(scope="session")
 def small_tables():
     con = duckdb.connect()
-    for name in ("documents", "benchmark", "conversations", "pages", "labels"):
+    for name in ("documents", "benchmark", "conversations", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     return con

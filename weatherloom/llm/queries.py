@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherloom.llm import chat, chunks, decontam, langid, nbest, quality_rules, resample, simhash, suffixes, warc
+from weatherloom.llm import chat, chunks, decontam, langid, nbest, neighbours, phrases, quality_rules, resample, runs, simhash, suffixes, warc
 from weatherloom.llm.common import crc_mod3
 
 
@@ -77,11 +77,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_chat_format,
         op6_quality_classifier, op7_simhash, op8_sentencepiece_nbest, op9_suffix_dedup, op10_warc,
+        op11_periodic_runs, op12_embedding_dedup, op13_collocations,
     )
 }
 
@@ -123,6 +136,8 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS
   sha256(unhex(CASE WHEN n IS NULL THEN h ELSE front || substr(h, 2 * stop + 1) END)) AS kept_sha256
 FROM d LEFT JOIN o USING (doc_id)
 """,
+    "op12_embedding_dedup": neighbours.SQL,
+    "op13_collocations": phrases.SQL,
     "op10_warc": f"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS n,
