@@ -47,6 +47,7 @@ WRITES_FIRST = {
     "read_stations", "read_inventory", "dimension_row_counts", "read_observations", "read_landed_years",
     "parquet_by_country", "csv_gz_round_trip", "expanded_bytes", "dense_months",
     "element_counts_from_rollup", "country_year_means_from_rollup", "file_sizes", "read_year_file",
+    "landed_changes", "landed_rollup", "relanded_years", "unread_lines", "line_counts", "read_lines_of_broken_files",
 }
 
 

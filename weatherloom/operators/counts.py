@@ -154,3 +154,33 @@ def activity_comparison(daily: DataFrame, enriched: DataFrame, year: int) -> Dat
         F.count_if(observed & ~listed).alias("N_ONLY_OBSERVATIONS"),
         F.count_if(listed & ~observed).alias("N_ONLY_INVENTORY"),
     )
+
+
+#: What each row of ``station_report`` counts, by the columns that it does not sum over.
+REPORT_LEVELS = ("ALL", "COUNTRY", "TERRITORY", "NETWORK", "STATE", "HEMISPHERE")
+
+
+def station_report(enriched: DataFrame, *, owner: str = "united states", home_code: str = "US") -> DataFrame:
+    """LEVEL, CODE, N_STATIONS: stations in all, by country, territory, network, state and hemisphere, in one pass.
+
+    Grouping sets over one scan take the place of a query for each level. A station in two networks counts in both
+    and in all once. Stations outside a level (no state, no network, no territory, no latitude) have no row there.
+    """
+    networks = F.filter(F.array(*(F.when(C.in_network(n), n) for n in ("GSN", "HCN", "CRN"))), lambda n: n.isNotNull())
+    marked = C.with_country_code(enriched).select(
+        "ID",
+        F.col("COUNTRY_CODE").alias("COUNTRY"),
+        F.when(C.is_territory(owner, home_code), F.col("COUNTRY_NAME")).alias("TERRITORY"),
+        F.explode_outer(F.when(F.size(networks) > 0, networks)).alias("NETWORK"),
+        F.nullif(F.trim("STATE"), F.lit("")).alias("STATE"),
+        F.when(F.col("LATITUDE").isNotNull(), F.when(C.is_southern(), "S").otherwise("N")).alias("HEMISPHERE"),
+    )
+    levels = [F.col(c) for c in REPORT_LEVELS[1:]]
+    grouped = marked.groupingSets([[], *([c] for c in levels)], *levels).agg(F.count_distinct("ID").alias("N_STATIONS"), F.grouping_id().alias("summed"))
+    everything = (1 << len(levels)) - 1
+    level = F.when(F.col("summed") == everything, REPORT_LEVELS[0])
+    for place, name in enumerate(REPORT_LEVELS[1:]):
+        level = level.when(F.col("summed") == everything - (1 << (len(levels) - 1 - place)), name)
+    code = F.coalesce(*levels)
+    rows = grouped.select(level.alias("LEVEL"), code.alias("CODE"), "N_STATIONS")
+    return rows.where((F.col("LEVEL") == REPORT_LEVELS[0]) | F.col("CODE").isNotNull())

@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from weatherloom.plans import (  # noqa: F401
+    layout_queries,
     observation_queries,
     rainfall_queries,
     source_queries,

@@ -38,7 +38,7 @@ def _written(spark: SparkSession, name: str, lines: DataFrame, compression: str
     return path
 
 
-def _csv_lines(daily: DataFrame, *kept: str) -> DataFrame:
+def csv_lines(daily: DataFrame, *kept: str) -> DataFrame:
     texts = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _OBSERVATION)
     return daily.select(*kept, F.concat_ws(",", *texts).alias("value"))
 
@@ -66,14 +66,23 @@ def read_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimensions.read_stations(spark, path)
 
 
+def _located_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inventory with the position of each station, as its file has it."""
+    places = D.customer_stations(spark, sf_dir).select("ID", "LATITUDE", "LONGITUDE")
+    return D.inventory(spark, sf_dir).join(places, "ID", "left")
+
+
 @query(
     "read_inventory",
-    D.given("inventory", then="SELECT CAST(ID AS VARCHAR) AS ID, ELEMENT, FIRSTYEAR, LASTYEAR FROM inventory"),
+    D.given(
+        "inventory", "stations",
+        then="""SELECT CAST(i.ID AS VARCHAR) AS ID, round(LATITUDE, 6) AS LATITUDE, round(LONGITUDE, 6) AS LONGITUDE, ELEMENT, FIRSTYEAR, LASTYEAR
+                FROM inventory i LEFT JOIN stations s ON s.ID = i.ID""",
+    ),
 )
 def read_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.inventory(spark, sf_dir).withColumns({c: F.lit(None).cast("double") for c in ("LATITUDE", "LONGITUDE")})
-    path = _written(spark, "inventory", _fixed_width_lines(rows, S.INVENTORY))
-    return dimensions.read_inventory(spark, path).drop("LATITUDE", "LONGITUDE")
+    path = _written(spark, "inventory", _fixed_width_lines(_located_inventory(spark, sf_dir), S.INVENTORY))
+    return dimensions.read_inventory(spark, path)
 
 
 @query(
@@ -88,13 +97,12 @@ def read_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def dimension_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = D.inventory(spark, sf_dir).withColumns({c: F.lit(None).cast("double") for c in ("LATITUDE", "LONGITUDE")})
     tables = dimensions.read_dimensions(
         spark,
         stations=_written(spark, "stations", _station_text(spark, sf_dir)),
         countries=_written(spark, "countries", _fixed_width_lines(D.countries(spark, sf_dir), S.COUNTRIES)),
         states=_written(spark, "states", _fixed_width_lines(D.states(spark, sf_dir), S.STATES)),
-        inventory=_written(spark, "inventory", _fixed_width_lines(rows, S.INVENTORY)),
+        inventory=_written(spark, "inventory", _fixed_width_lines(_located_inventory(spark, sf_dir), S.INVENTORY)),
     )
     return dimensions.row_counts(tables)
 
@@ -107,7 +115,7 @@ def dimension_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def read_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(spark, "daily", _csv_lines(D.order_observations(spark, sf_dir)), "gzip")
+    path = _written(spark, "daily", csv_lines(D.order_observations(spark, sf_dir)), "gzip")
     return observations.read_observations(spark, path)
 
 
@@ -189,7 +197,7 @@ def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lengths of the plain text files of each year; how many files there are is up to Spark."""
     daily = C.with_year(D.order_observations(spark, sf_dir))
     path = sinks.shared_path(spark, "text-by-year")
-    sinks.packed_by(_csv_lines(daily, "YEAR"), "YEAR").write.partitionBy("YEAR").text(path)
+    sinks.packed_by(csv_lines(daily, "YEAR"), "YEAR").write.partitionBy("YEAR").text(path)
     of_year = F.regexp_extract("path", r"/YEAR=(\d+)/", 1).cast("bigint")
     return files.size_shares(files.file_facts(spark, path).select(of_year.alias("YEAR"), "size"), "YEAR").drop("N_FILES")
 
@@ -199,12 +207,11 @@ def file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     D.given("daily", then="SELECT * EXCLUDE (YEAR) REPLACE (CAST(ID AS VARCHAR) AS ID) FROM daily WHERE YEAR = 1997"),
 )
 def read_year_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two years are written, each under its own name; one is read."""
+    """One write puts every year into a folder, which then takes the name of that year's file; one year is read."""
     daily = C.with_year(D.order_observations(spark, sf_dir))
     root = sinks.shared_path(spark, "years")
-    for year in (1996, 1997):
-        lines = _csv_lines(daily.where(F.col("YEAR") == year))
-        lines.write.option("compression", "gzip").text(f"{root}/{year}.csv.gz")
+    sinks.packed_by(csv_lines(daily, "YEAR"), "YEAR").write.option("compression", "gzip").partitionBy("YEAR").text(root)
+    sinks.rename_folders(spark, root, "YEAR=", "", ".csv.gz")
     return observations.read_observations(spark, root, year=1997)
 
 
@@ -284,7 +291,7 @@ def listed_missing_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def expanded_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _written(spark, "daily", _csv_lines(D.order_observations(spark, sf_dir)), "gzip")
+    path = _written(spark, "daily", csv_lines(D.order_observations(spark, sf_dir)), "gzip")
     return files.expanded_bytes(spark, path)
 
 

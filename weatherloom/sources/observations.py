@@ -35,6 +35,7 @@ def land_observations(
     bucket_bytes: int = BUCKET_BYTES,
     bucket_rows: int = BUCKET_ROWS,
     mode: str = "overwrite",
+    replace_years: bool = False,
 ) -> str:
     """Write observations as Parquet, one directory per YEAR.
 
@@ -45,7 +46,8 @@ def land_observations(
     sorted and written by many tasks; adaptive execution merges small buckets. Sorting
     inside a file narrows the min/max ranges of ELEMENT and ID, by which a reader skips
     row groups. DATE is kept as text: nothing is lost for dates that do not exist, and a
-    year of it is only a small dictionary.
+    year of it is only a small dictionary. With ``replace_years`` only the years that
+    ``daily`` holds are overwritten.
     """
     dated = C.with_year(daily)
     if facts is None:
@@ -59,7 +61,10 @@ def land_observations(
         F.pmod(F.xxhash64("ID", "DATE"), F.greatest(F.col("n_buckets"), F.lit(1).cast("bigint"))).alias("bucket"),
     )
     packed = divided.hint("rebalance", "YEAR", "bucket").sortWithinPartitions("YEAR", "ELEMENT", "ID", "DATE")
-    packed.drop("bucket").write.mode(mode).partitionBy("YEAR").parquet(path)
+    writer = packed.drop("bucket").write.mode(mode).partitionBy("YEAR")
+    if replace_years:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     return path
 
 

@@ -46,3 +46,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
         if urlsplit(root).scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def rename_folders(spark: SparkSession, path: str, prefix: str, new_prefix: str = "", suffix: str = "") -> None:
+    """Rename the folders below ``path`` that begin with ``prefix``: it gives way to ``new_prefix``, and ``suffix`` is added."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in system.listStatus(place):
+        name = found.getPath().getName()
+        if name.startswith(prefix):
+            system.rename(found.getPath(), spark._jvm.org.apache.hadoop.fs.Path(place, f"{new_prefix}{name.removeprefix(prefix)}{suffix}"))
