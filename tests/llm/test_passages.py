@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from weatherloom.llm import chunks
+from weatherloom.llm import chunks, suffixes
 
 
 def left_of(docs):
@@ -72,3 +73,26 @@ def test_different_texts_under_one_id_lose_what_they_share(docs_of):
         rows = [(doc_id, f"one {passage} end"), (doc_id, f"two {passage} fin"), (doc_id, f"two {passage} fin")]
         left = [r["text"] for r in chunks.deduplicated(docs_of(rows)).collect()]
         assert sum(passage in t for t in left) in (1, 2) and len({t for t in left if passage in t}) == 1
+
+
+def test_texts_that_collide_in_a_polynomial_hash_stay(docs_of):
+    """Two texts without a common 400-byte string whose difference vanishes in any polynomial hash modulo 2**64 with an odd base."""
+    difference = np.array([4], np.int64)
+    for n in (1, 2, 4, 8, 16, 16, 32, 32, 64, 64, 400):
+        difference = np.convolve(difference, [-1] + [0] * (n - 1) + [1])
+    assert len(difference) == 640 and np.abs(difference).max() <= 32 and not difference[240:400].any()
+    base = int(suffixes._BASE)
+    assert sum(int(d) * pow(base, i, 1 << 64) for i, d in enumerate(difference)) % (1 << 64) == 0
+    rng = np.random.default_rng(0)
+    for _ in range(5000):  # until the one anchor that both have stands for all their windows
+        one = np.where(difference < 0, 100, 60) + rng.integers(0, 20, 640)
+        texts = [one.astype(np.uint8), (one + difference).astype(np.uint8)]
+        found = [suffixes.anchored_windows(t) for t in texts]
+        if all(len(f[0]) == 1 for f in found) and found[0][0][0] == found[1][0][0]:
+            break
+    else:
+        raise AssertionError("no such pair")
+    texts = [t.tobytes().decode("ascii") for t in texts]
+    assert not {texts[0][i : i + 400] for i in range(241)} & {texts[1][i : i + 400] for i in range(241)}
+    left = suffixes.without_repeats(docs_of([(1, texts[0]), (2, texts[1])]))
+    assert {(r["doc_id"], bytes(r["kept"]).decode()) for r in left.collect()} == {(1, texts[0]), (2, texts[1])}

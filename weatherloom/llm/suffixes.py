@@ -8,13 +8,14 @@ where an anchor occurs more than once.
 
 from __future__ import annotations
 
+import hashlib
+import struct
 import uuid
 from collections.abc import Iterator
 from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,10 +46,17 @@ _FAR = _powers(MATCH_BYTES * 2, _BASE)
 _FAR_OTHER = _powers(MATCH_BYTES * 2, _OTHER)
 
 
+def _digest(data: bytes, *form: int) -> bytes:
+    """16 bytes that name ``data`` and up to two numbers; nobody knows two texts with one name."""
+    return hashlib.blake2b(data, digest_size=16, salt=struct.pack("<2q", *form, *(0,) * (2 - len(form)))).digest()
+
+
 def anchored_windows(text: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor hash, context hash, first window, windows, bytes from the first window to the anchor) of a block.
+    """(anchor hash, two halves of the context's digest, first window, windows, bytes from the first window to the anchor) of a block.
 
-    One entry per run of neighbouring windows with one anchor; their context is all bytes they cover.
+    One entry per run of neighbouring windows with one anchor; their context is all bytes they cover, named with
+    the numbers of windows and leading bytes by a 128-bit BLAKE2b digest. Anchor hashes only bring candidates
+    together, so they may collide; contexts of one name are taken for equal.
     """
     size, span = len(text), MATCH_BYTES - ANCHOR_BYTES + 1
     sums = np.zeros(size + 1, np.uint64)
@@ -66,21 +74,22 @@ def anchored_windows(text: np.ndarray) -> tuple[np.ndarray, ...]:
     count = np.diff(np.append(first, windows))
     anchor = place[first]
     lead = anchor - first
-    form = count.astype(np.uint64) * _BASE + lead.astype(np.uint64)
-    context = ngrams.mix((sums[first + count - 1 + MATCH_BYTES] - sums[first]) * _DOWN[first] + ngrams.mix(form))
-    return hashes[anchor], context, first, count, lead
+    data = text.tobytes()
+    names = [_digest(data[a : a + n - 1 + MATCH_BYTES], n, o) for a, n, o in zip(first.tolist(), count.tolist(), lead.tolist())]
+    context = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
+    return hashes[anchor], context[:, 0], context[:, 1], first, count, lead
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text_hash, anchor, context, start, windows, lead) of every run of windows of every text."""
+    """(doc_id, text_hash, anchor, context, context_2, start, windows, lead) of every run of windows of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "text_hash", "anchor", "context", "start", "windows", "lead"]
+        names = ["doc_id", "text_hash", "anchor", "context", "context_2", "start", "windows", "lead"]
 
         def table(batch: pa.RecordBatch, rows: list, parts: list) -> pa.RecordBatch:
             at = pa.array(np.repeat(np.array(rows, np.int32), [len(p[0]) for p in parts]))
             columns = [np.concatenate(c) for c in zip(*parts)]
-            kinds = (np.int64, np.int64, np.int32, np.int32, np.int32)
+            kinds = (np.int64, np.int64, np.int64, np.int32, np.int32, np.int32)
             return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *(pa.array(c.astype(k)) for c, k in zip(columns, kinds))], names)
 
         for batch in batches:
@@ -89,7 +98,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for row in range(len(batch)):
                 for at in range(int(offsets[row]), int(offsets[row + 1]) - MATCH_BYTES + 1, _BLOCK):
                     found = anchored_windows(data[at : min(at + _BLOCK + MATCH_BYTES - 1, int(offsets[row + 1]))])
-                    found[2][:] += at - int(offsets[row])
+                    found[3][:] += at - int(offsets[row])
                     rows.append(row)
                     parts.append(found)
                     held += len(found[0])
@@ -101,7 +110,7 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     rows = rows.filter(F.octet_length("text") >= MATCH_BYTES)
-    return rows.mapInArrow(run, "doc_id long, text_hash long, anchor long, context long, start int, windows int, lead int")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, anchor long, context long, context_2 long, start int, windows int, lead int")
 
 
 class _Context:
@@ -239,7 +248,7 @@ def _lanes(width: int):
                     first, last = max(lane * width, lead - windows + 1), min(lane * width + width - 1, lead)
                     common = data[lead - lane * width : lead + MATCH_BYTES - (lane * width + width) + 1]
                     piece = data[lead - last : lead + MATCH_BYTES - first]
-                    marks = xxhash.xxh3_128_digest(common, lane) + xxhash.xxh3_128_digest(piece, last)
+                    marks = _digest(common, lane) + _digest(piece, lane, last)
                     out.append((doc, key, times, start + lead - last, last - first + 1, last, piece, *np.frombuffer(marks, "<i8").tolist()))
             columns = zip(*out) if out else [[] for _ in fields]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), kinds[f[1]]) for c, f in zip(columns, fields)], [f[0] for f in fields])
@@ -261,16 +270,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places, so a long text repeated as a row is removed from both.
     """
     found = written(occurrences(docs, id_col, text_col), "occurrences")
-    anchors = written(found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")).filter("n > 1"), "anchors")
-    shared = written(found.join(anchors, "anchor").withColumn("mixed", F.col("low") != F.col("high")).drop("n", "low", "high"), "shared")
+    different = (F.min("context") != F.max("context")) | (F.min("context_2") != F.max("context_2"))
+    anchors = written(found.groupBy("anchor").agg(F.count("*").alias("n"), different.alias("mixed")).filter("n > 1").drop("n"), "anchors")
+    shared = written(found.join(anchors, "anchor"), "shared")
     end = (F.col("start") + F.col("windows") + F.lit(MATCH_BYTES - 1)).alias("end")
     whole = shared.filter("not mixed").select("doc_id", "text_hash", "start", end)
 
     mixed = shared.filter("mixed")
     firsts = [F.first(c).alias(c) for c in ("doc_id", "text_hash", "start", "windows", "lead")]
-    folded = written(mixed.groupBy("anchor", "context").agg(F.count("*").alias("times"), *firsts), "folded")
-    twice = folded.filter("times > 1").select("anchor", "context")
-    twice_rows = mixed.join(twice, ["anchor", "context"]).select("doc_id", "text_hash", "start", end)
+    name = ["anchor", "context", "context_2"]
+    folded = written(mixed.groupBy(*name).agg(F.count("*").alias("times"), *firsts), "folded")
+    twice_rows = mixed.join(folded.filter("times > 1").select(*name), name).select("doc_id", "text_hash", "start", end)
 
     mark = uuid.uuid4().hex
     places = F.struct("anchor", "times", "start", "windows", "lead")
