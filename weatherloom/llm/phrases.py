@@ -220,21 +220,54 @@ def _sketched(docs: DataFrame, length: int, sketch: _Sketch, min_count: int, sha
             hashes, mark = _word_hashes(dictionary), _lang_mark(lang)
             for phrases, counts in _shard_phrases(ids, len(dictionary), hashes, mark, length, sketch):
                 pass
-            at = sketch.bucket(hashes[phrases], mark)
-            for i in range(0, len(at), 1 << 17):
-                part = slice(i, i + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(at[part].astype(np.int32)), pa.array(np.minimum(counts[part], min_count).astype(np.int32))], ["bucket", "n"])
-
-    counted = tidy_map(docs, run, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
-    place = F.col("bucket").cast("long") + 1  # bitmaps count from one
-    maps = counted.groupBy(F.bitmap_bucket_number(place).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+            bucket = sketch.bucket(hashes[phrases], mark)
+            order = np.argsort(bucket)
+            bucket, counts = bucket[order], np.minimum(counts[order], min_count)
+            ranges = bucket // _BITMAP
+            at = np.flatnonzero(np.diff(ranges, prepend=-1))
+            ends = np.append(at[1:], len(bucket))
+            places, times = (bucket % _BITMAP).astype(np.uint16), counts.astype(np.int32)
+            for i in range(0, len(at), 1 << 10):
+                part = list(zip(at[i : i + (1 << 10)].tolist(), ends[i : i + (1 << 10)].tolist()))
+                columns = [pa.array(ranges[at[i : i + (1 << 10)]].astype(np.int32)), pa.array([places[x:y].tobytes() for x, y in part], pa.binary()), pa.array([_packed(times[x:y]) for x, y in part], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["range", "places", "times"])
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, sums = None, np.zeros(_BITMAP, np.int64)
+
+        def bits() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([np.packbits(sums >= min_count, bitorder="little").tobytes()], pa.binary())], ["range", "bits"])
+
+        for batch in batches:
+            for range_, places, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if range_ != own:
+                    if own is not None:
+                        yield bits()
+                    own, sums = range_, np.zeros(_BITMAP, np.int64)
+                np.add.at(sums, np.frombuffer(places, np.uint16), _unpacked(times))
+        if own is not None:
+            yield bits()
+
+    # a row of a shard holds what falls into one range of buckets, and the rows of a range stream past sorted
+    counted = tidy_map(docs, run, "range int, places binary, times binary")
+    maps = tidy_map(counted.repartition("range").sortWithinPartitions("range"), summed, "range int, bits binary")
     out = np.zeros((1 << sketch.bits) // 8, np.uint8)
-    for at, bits in maps.collect():  # one row for 2**15 buckets, so 2**(bits - 15) rows of 4 KiB at most
-        first = (at - 1) * _BITMAP // 8
+    for range_, bits in maps.collect():  # one row for 2**15 buckets, so 2**(bits - 15) rows of 4 KiB at most
+        first = range_ * _BITMAP // 8
         out[first : first + len(bits)] = np.frombuffer(bytes(bits), np.uint8)[: len(out) - first]
     return out
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Small whole numbers as bytes; the first byte is their width."""
+    width = 1 if counts.max(initial=0) < 256 else 4
+    return bytes([width]) + counts.astype(np.uint8 if width == 1 else np.uint32).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8 if data[0] == 1 else np.uint32, offset=1)
+
+
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, shard_words: int = SHARD_WORDS, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """(lang, phrase, words, f) of all phrases of up to ``max_words`` words that come ``min_count`` times or more; a written table.
 
@@ -252,21 +285,20 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
         sketch = sent.value
         for lang, dictionary, ids in _shards(batches, shard_words):
             words = int((ids < len(dictionary)).sum())
-            yield batch_of(lang, pa.array([""]), 0, np.array([words]))
+            yield batch_of(lang, pa.array([""]), np.array([words]))
             for phrases, counts in _shard_phrases(ids, len(dictionary), _word_hashes(dictionary), _lang_mark(lang), max_words, sketch):
                 for i in range(0, len(phrases), 1 << 16):
                     part = phrases[i : i + (1 << 16)]
                     joined = pc.binary_join_element_wise(*(dictionary.take(pa.array(c)) for c in part.T), pa.scalar(b" ", pa.large_binary()))
-                    yield batch_of(lang, joined.cast(pa.binary()).cast(pa.string()), phrases.shape[1], counts[i : i + (1 << 16)])
+                    yield batch_of(lang, joined.cast(pa.binary()).cast(pa.string()), counts[i : i + (1 << 16)])
 
-    def batch_of(lang: str, texts: pa.Array, words: int, counts: np.ndarray) -> pa.RecordBatch:
-        rows = len(texts)
-        columns = [pa.array([lang] * rows, pa.string()), texts, pa.array(np.full(rows, words, np.int32)), pa.array(counts.astype(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "f"])
+    def batch_of(lang: str, texts: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(texts), pa.string()), texts, pa.array(counts.astype(np.int64))], ["lang", "phrase", "f"])
 
-    counted = tidy_map(texts, run, "lang string, phrase string, words int, f long")
-    sums = counted.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-    return written(sums.filter((F.col("f") >= min_count) | (F.col("words") == 0)), "phrases")
+    counted = tidy_map(texts, run, "lang string, phrase string, f long")
+    sums = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "))) + 1)
+    return written(sums.withColumn("words", words.cast("int")).filter((F.col("f") >= min_count) | (F.col("words") == 0)), "phrases")
 
 
 def score(a: str, left: str, right: str) -> Column:
