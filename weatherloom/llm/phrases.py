@@ -272,12 +272,13 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """(lang, phrase, words, f) of all phrases of up to ``max_words`` words that come ``min_count`` times or more; a written table.
 
     One row with words 0 and an empty phrase gives the number of all words of a language. Before phrases of
-    k words are enumerated, those of k - 1 words are counted by hash in a sketch of fixed size: a phrase is left out
-    only where a part of it is surely rarer than ``min_count``, so no count depends on the sketch.
+    k words are enumerated, those of k - 1 words are counted by hash in a sketch of fixed size, and at last those of
+    ``max_words`` themselves: a phrase is left out only where it or a part of it is surely rarer than ``min_count``, so no
+    count depends on the sketch.
     """
     texts = _texts(docs, text_col, lang_col)
     sketch = _Sketch(sketch_bits)
-    for length in range(1, max_words):
+    for length in range(1, max_words + 1):
         sketch.maps[length] = _sketched(texts, length, sketch, min_count, shard_words)
     sent = docs.sparkSession.sparkContext.broadcast(sketch)
 
