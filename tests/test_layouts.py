@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weatherloom.operators import presence, selection, unpaired
+from weatherloom.operators import names, presence, selection, unpaired
 from weatherloom.plans import audit, layout_queries
 from weatherloom.plans import standins as D
 from weatherloom.sources import storage
@@ -213,3 +213,27 @@ def test_report_scans_the_stations_once(spark):
 
     scans = [n for n in audit.nodes(QUERIES["station_report"](spark, SF)) if n.nodeName().startswith("Scan")]
     assert sum("c_custkey" in n.simpleString(50) for n in scans) == 1
+
+
+# Names
+
+
+def test_spellings_are_matched_and_ties_reported(spark):
+    known = [("Saint Lucia", "LCA"), ("Saint Lucie", "XXX"), ("Korea, North", "PRK"), ("Korea, South", "KOR"), ("Mali", "MLI"), ("Malta", "MLT"), ("Côte d'Ivoire", "CIV"), ("Mali", "ML2"), ("Niger", "NER"), ("Nigeria", "NGA"), (None, "NIL")]
+    rows = [
+        (1, "saint lucia [France]"), (2, "Saint Luci"), (3, "North Korea"), (4, "Korea South"), (5, "Mali"), (6, "Malta "), (7, "COTE D IVOIRE"),
+        (8, "Nigera"), (9, "Atlantis"), (10, None), (11, "123 [x]"), (12, "Maltta"), (12, "Maltta"), (13, ""),
+    ]
+    got = names.match_names(spark.createDataFrame(rows, "ID int, NAME string"), spark.createDataFrame(known, "NAME string, KEY string"))
+    by_id = sorted((r["ID"], r["KEY"], r["DISTANCE"], r["MATCH"], tuple(r["CANDIDATES"] or ())) for r in got.collect())
+    assert [r[0] for r in by_id] == sorted(r[0] for r in rows)
+    found = {r[0]: r[1:] for r in by_id}
+    assert found[1] == ("LCA", 0, "equal", ("LCA",))
+    assert found[2] == (None, 1, "tied", ("LCA", "XXX"))
+    assert found[3][0] == "PRK" and found[4][0] == "KOR"
+    assert found[5] == (None, 0, "tied", ("ML2", "MLI"))
+    assert found[6][2] == "equal" and found[7] == ("CIV", 1, "near", ("CIV",))
+    assert found[8] == (None, 1, "tied", ("NER", "NGA")) and found[12] == ("MLT", 1, "near", ("MLT",))
+    assert all(found[i] == (None, None, "none", ()) for i in (9, 10, 11, 13))
+    bad = {"cross join", "nested loop", "python stage"}
+    assert not bad & {f.kind for f in audit.findings(got)}

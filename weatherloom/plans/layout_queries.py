@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom.functions import columns as C
-from weatherloom.operators import counts, enrich, presence, selection, unpaired
+from weatherloom.operators import counts, enrich, names, presence, selection, unpaired
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
 from weatherloom.plans.source_queries import csv_lines
@@ -293,3 +293,60 @@ def observed_stations_of_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def station_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = enrich.with_name(D.customer_stations(spark, sf_dir), D.countries(spark, sf_dir), "COUNTRY_CODE", "COUNTRY_NAME")
     return counts.station_report(named)
+
+
+# Names spelled differently ----------------------------------------------------------------
+
+#: Parts, whose names lack a letter, double one, swap their words, are shouted or carry a remark, by kind.
+_SPELLED = """spelled AS (
+    SELECT p_partkey AS ID, CASE p_type
+        WHEN 'ECONOMY' THEN substr(p_name, 1, 2) || substr(p_name, 4)
+        WHEN 'SMALL' THEN p_name || right(p_name, 1)
+        WHEN 'LARGE' THEN split_part(p_name, ' ', 2) || ', ' || split_part(p_name, ' ', 1)
+        WHEN 'PROMO' THEN upper(p_name) || ' [2nd]'
+        WHEN 'STANDARD' THEN NULL
+        ELSE p_name END AS NAME FROM part)"""
+
+
+def _spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, kind = F.col("p_name"), F.col("p_type")
+    return D.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("ID"),
+        F.when(kind == "ECONOMY", F.concat(F.substring(name, 1, 2), F.substr(name, F.lit(4))))
+        .when(kind == "SMALL", F.concat(name, F.right(name, F.lit(1))))
+        .when(kind == "LARGE", F.concat(F.split_part(name, F.lit(" "), F.lit(2)), F.lit(", "), F.split_part(name, F.lit(" "), F.lit(1))))
+        .when(kind == "PROMO", F.concat(F.upper(name), F.lit(" [2nd]")))
+        .when(kind == "STANDARD", F.lit(None).cast("string"))
+        .otherwise(name)
+        .alias("NAME"),
+    )
+
+
+_WORDS = "list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(regexp_replace(lower(NAME), '[\\[(][^\\])}]*[\\])}]', ' ', 'g'), '[^\\p{L}]+', ' ', 'g')), ' '), lambda w: w <> '')))"
+
+
+@query(
+    "matched_names",
+    f"""WITH {_SPELLED}, l AS (
+            SELECT NAME, {_WORDS} AS w FROM (SELECT DISTINCT NAME FROM spelled WHERE NAME IS NOT NULL)
+        ), r AS (
+            SELECT NAME, {_WORDS} AS w FROM (SELECT DISTINCT p_name AS NAME FROM part)
+        ), b AS (
+            SELECT l.NAME, upper(r.NAME) AS KEY, levenshtein(array_to_string(l.w, ' '), array_to_string(r.w, ' ')) AS d,
+                   least(length(array_to_string(l.w, ' ')), length(array_to_string(r.w, ' '))) AS n
+            FROM l, r
+            WHERE list_has_any(l.w, r.w) OR left(array_to_string(l.w, ' '), 3) = left(array_to_string(r.w, ' '), 3)
+               OR right(array_to_string(l.w, ' '), 3) = right(array_to_string(r.w, ' '), 3)
+        ), m AS (
+            SELECT NAME, KEY, d, min(d) OVER (PARTITION BY NAME) AS least FROM b WHERE d <= greatest(1, n // 5)
+        ), f AS (
+            SELECT NAME, least AS DISTANCE, list_sort(list(DISTINCT KEY)) AS c FROM m WHERE d = least GROUP BY NAME, least
+        )
+        SELECT s.ID, s.NAME, CAST(DISTANCE AS BIGINT) AS DISTANCE, array_to_string(c, ',') AS CANDIDATES,
+               CASE WHEN c IS NULL THEN 'none' WHEN len(c) > 1 THEN 'tied' WHEN DISTANCE = 0 THEN 'equal' ELSE 'near' END AS MATCH,
+               CASE WHEN len(c) = 1 THEN c[1] END AS KEY
+        FROM spelled s LEFT JOIN f ON f.NAME = s.NAME""",
+)
+def matched_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = D.table(spark, sf_dir, "part").select(F.col("p_name").alias("NAME"), F.upper("p_name").alias("KEY"))
+    return names.match_names(_spelled(spark, sf_dir), known)
