@@ -1,6 +1,9 @@
 """Every registered query against its SQL, and the shape of the plans."""
 
+import os
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -61,3 +64,9 @@ def test_plans_have_no_python_and_no_nested_loops(spark, plan_of, name):
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_without_the_packages_of_the_text_part_the_rest_is_there():
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e.QUERIES))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], cwd=os.path.dirname(driver.__file__), capture_output=True, text=True, timeout=120)
+    assert done.stdout.strip() == "True", done.stderr

@@ -28,29 +28,23 @@ EARTH_RADIUS_KM = 6371.0
 
 # Observations (gzip CSV without a header line) ----------------------------------
 
-_OBSERVATION_KEYS = "ID string, DATE string, ELEMENT string, VALUE double"
-
 
 def observations_schema() -> T.StructType:
     """DATE stays ``yyyyMMdd`` text and OBSERVATION_TIME stays ``HHMM`` text."""
-    return _ddl(
-        f"{_OBSERVATION_KEYS}, MEASUREMENT_FLAG string, QUALITY_FLAG string, "
-        "SOURCE_FLAG string, OBSERVATION_TIME string"
-    )
+    return _observations("MEASUREMENT_FLAG", "QUALITY_FLAG", "SOURCE_FLAG", "OBSERVATION_TIME")
 
 
 def observations_schema_short() -> T.StructType:
     """The same eight columns under the short flag names."""
-    return _ddl(f"{_OBSERVATION_KEYS}, MEASUREMENT string, QUALITY string, SOURCE string, TIME string")
+    return _observations("MEASUREMENT", "QUALITY", "SOURCE", "TIME")
 
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType(
-        [
-            T.StructField(name, _TYPES[kind], True)
-            for name, kind in (column.split() for column in text.split(","))
-        ]
-    )
+def _observations(*flags: str) -> T.StructType:
+    keys = T.StructType().add("ID", T.StringType()).add("DATE", T.StringType()).add("ELEMENT", T.StringType())
+    schema = keys.add("VALUE", T.DoubleType())
+    for flag in flags:
+        schema = schema.add(flag, T.StringType())
+    return schema
 
 
 _TYPES: dict[str, T.DataType] = {
@@ -76,54 +70,36 @@ class Field(NamedTuple):
         return self.last - self.first + 1
 
 
-def layout(text: str) -> tuple[Field, ...]:
-    """Read a layout written one field per line: ``NAME first-last kind``."""
-    fields = []
-    for line in text.strip().splitlines():
-        name, span, kind = line.split()
-        first, last = span.split("-")
-        fields.append(Field(name, int(first), int(last), kind))
-    return tuple(fields)
-
-
 # The published character ranges.
-STATIONS = layout(
-    """
-    ID            1-11   string
-    LATITUDE     13-20   double
-    LONGITUDE    22-30   double
-    ELEVATION    32-37   double
-    STATE        39-40   string
-    NAME         42-71   string
-    GSN_FLAG     73-75   string
-    HCN_CRN_FLAG 77-79   string
-    WMO_ID       81-85   string
-    """
+STATIONS = (
+    Field("ID", 1, 11, "string"),
+    Field("LATITUDE", 13, 20, "double"),
+    Field("LONGITUDE", 22, 30, "double"),
+    Field("ELEVATION", 32, 37, "double"),
+    Field("STATE", 39, 40, "string"),
+    Field("NAME", 42, 71, "string"),
+    Field("GSN_FLAG", 73, 75, "string"),
+    Field("HCN_CRN_FLAG", 77, 79, "string"),
+    Field("WMO_ID", 81, 85, "string"),
 )
 
-COUNTRIES = layout(
-    """
-    CODE  1-2   string
-    NAME  4-64  string
-    """
+COUNTRIES = (
+    Field("CODE", 1, 2, "string"),
+    Field("NAME", 4, 64, "string"),
 )
 
-STATES = layout(
-    """
-    CODE  1-2   string
-    NAME  4-50  string
-    """
+STATES = (
+    Field("CODE", 1, 2, "string"),
+    Field("NAME", 4, 50, "string"),
 )
 
-INVENTORY = layout(
-    """
-    ID         1-11  string
-    LATITUDE  13-20  double
-    LONGITUDE 22-30  double
-    ELEMENT   32-35  string
-    FIRSTYEAR 37-40  int
-    LASTYEAR  42-45  int
-    """
+INVENTORY = (
+    Field("ID", 1, 11, "string"),
+    Field("LATITUDE", 13, 20, "double"),
+    Field("LONGITUDE", 22, 30, "double"),
+    Field("ELEMENT", 32, 35, "string"),
+    Field("FIRSTYEAR", 37, 40, "int"),
+    Field("LASTYEAR", 42, 45, "int"),
 )
 
 
