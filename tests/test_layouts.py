@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weatherloom.operators import names, presence, selection, unpaired
+from weatherloom.operators import names, presence, selection, sketches, unpaired
 from weatherloom.plans import audit, layout_queries
 from weatherloom.plans import standins as D
 from weatherloom.sources import storage
@@ -237,3 +237,31 @@ def test_spellings_are_matched_and_ties_reported(spark):
     assert all(found[i] == (None, None, "none", ()) for i in (9, 10, 11, 13))
     bad = {"cross join", "nested loop", "python stage"}
     assert not bad & {f.kind for f in audit.findings(got)}
+
+
+# Sketches
+
+
+def test_sketches_merge_and_stay_within_their_bound(spark):
+    daily = spark.range(60_000).select(
+        (F.col("id") % 20_000).cast("string").alias("ID"), F.when(F.col("id") < 30_000, "19900101").otherwise("19910101").alias("DATE"), (F.col("id") % 3).alias("PART")
+    )
+    daily = daily.union(spark.createDataFrame([(None, "19900101", 0), ("x", "bad", 0)], "ID string, DATE string, PART long"))
+    made = sketches.station_sketches(daily, "PART")
+    bound = sketches.relative_error()
+    by_year = {r["YEAR"]: r["N_STATIONS"] for r in sketches.estimated(sketches.merged(made, "YEAR")).collect()}
+    assert by_year[None] == 1
+    assert all(abs(by_year[y] - 20_000) <= 20_000 * bound for y in (1990, 1991))
+    halves = [sketches.station_sketches(daily.where(c)) for c in ("PART = 0", "PART <> 0")]
+    apart = {r["YEAR"]: r["N_STATIONS"] for r in sketches.estimated(sketches.merged(halves[0].union(halves[1]), "YEAR")).collect()}
+    assert all(abs(apart[y] - 20_000) <= 20_000 * bound for y in (1990, 1991))
+    assert sketches.estimated(sketches.merged(made)).first()["N_STATIONS"] > 19_000
+
+
+def test_small_sketches_are_exact_and_differ_exactly(spark):
+    daily = spark.createDataFrame([(str(i), "19900101") for i in range(900)] + [(str(i), "19910101") for i in range(300, 1000)] + [("1", "19930101")], "ID string, DATE string")
+    made = sketches.station_sketches(daily)
+    assert {tuple(r) for r in sketches.estimated(made).collect()} == {(1990, 900), (1991, 700), (1993, 1)}
+    assert {tuple(r) for r in sketches.stopped_estimate(made).collect()} == {(1991, 300)}
+    assert {tuple(r) for r in sketches.stopped_estimate(made, 2).collect()} == {(1993, 699 + 1)}
+    assert sketches.estimated(sketches.station_sketches(daily.limit(0))).collect() == []

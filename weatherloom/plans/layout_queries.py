@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom.functions import columns as C
-from weatherloom.operators import counts, enrich, names, presence, selection, unpaired
+from weatherloom.operators import counts, enrich, names, presence, selection, sketches, unpaired
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
 from weatherloom.plans.source_queries import csv_lines
@@ -350,3 +350,50 @@ _WORDS = "list_sort(list_distinct(list_filter(string_split(trim(regexp_replace(r
 def matched_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = D.table(spark, sf_dir, "part").select(F.col("p_name").alias("NAME"), F.upper("p_name").alias("KEY"))
     return names.match_names(_spelled(spark, sf_dir), known)
+
+
+# Distinct sketches ------------------------------------------------------------------------
+
+
+def _sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches by year and element, landed: one row of a few KB each."""
+    made = sketches.station_sketches(D.order_observations(spark, sf_dir), "ELEMENT")
+    return spark.read.parquet(sinks.save(made, sinks.shared_path(spark, "sketches")))
+
+
+def _within(estimate: str, exact: str, of: str) -> Column:
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(F.lit(sketches.relative_error()) * F.col(of), F.lit(0.5))
+
+
+@query(
+    "stations_from_sketches",
+    """SELECT year(o_orderdate) AS YEAR, count(DISTINCT o_custkey) AS N_STATIONS, true AS WITHIN_BOUND FROM orders GROUP BY 1
+       UNION ALL SELECT NULL, count(DISTINCT o_custkey), true FROM orders""",
+)
+def stations_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By year and in all: the exact count beside the check that the sketch, merged over elements, is within its bound."""
+    made, daily = _sketched(spark, sf_dir), D.order_observations(spark, sf_dir)
+    every = sketches.merged(made).select(F.lit(None).cast("int").alias("YEAR"), "SKETCH")
+    estimates = sketches.estimated(sketches.merged(made, "YEAR").unionByName(every)).withColumnRenamed("N_STATIONS", "estimate")
+    dated = C.with_year(daily)
+    exact = dated.groupingSets([["YEAR"], []], "YEAR").agg(F.count_distinct("ID").alias("N_STATIONS")).withColumnRenamed("YEAR", "of")
+    both = estimates.join(exact, F.col("YEAR").eqNullSafe(F.col("of")))
+    return both.select("YEAR", "N_STATIONS", _within("estimate", "N_STATIONS", "N_STATIONS").alias("WITHIN_BOUND"))
+
+
+@query(
+    "stopped_stations_from_sketches",
+    """WITH y AS (SELECT DISTINCT year(o_orderdate) AS y, o_custkey AS id FROM orders)
+       SELECT n.y AS YEAR, (SELECT count(*) FROM y p WHERE p.y = n.y - 1 AND NOT EXISTS (SELECT 1 FROM y c WHERE c.y = n.y AND c.id = p.id)) AS N_STOPPED, true AS WITHIN_BOUND
+       FROM (SELECT DISTINCT y FROM y) n WHERE EXISTS (SELECT 1 FROM y p WHERE p.y = n.y - 1)""",
+)
+def stopped_stations_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set differences of neighbouring years: the exact count beside the check of the estimate."""
+    by_year = sketches.merged(_sketched(spark, sf_dir), "YEAR")
+    estimates = sketches.stopped_estimate(by_year).withColumnRenamed("N_STOPPED", "estimate")
+    seen = C.with_year(D.order_observations(spark, sf_dir)).select("YEAR", "ID").distinct()
+    before = seen.select((F.col("YEAR") + 1).alias("YEAR"), "ID")
+    exact = before.join(seen, ["YEAR", "ID"], "left_anti").groupBy("YEAR").agg(F.count(F.lit(1)).alias("N"))
+    sizes = before.groupBy("YEAR").agg(F.count(F.lit(1)).alias("of"))
+    both = estimates.join(exact, "YEAR", "left").join(sizes, "YEAR").withColumn("N_STOPPED", F.coalesce("N", F.lit(0)))
+    return both.select("YEAR", "N_STOPPED", _within("estimate", "N_STOPPED", "of").alias("WITHIN_BOUND"))
