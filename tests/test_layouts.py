@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from weatherloom.operators import names, presence, selection, sketches, unpaired
+from weatherloom.operators import names, presence, selection, sizing, sketches, unpaired
 from weatherloom.plans import audit, layout_queries
 from weatherloom.plans import standins as D
 from weatherloom.sources import storage
@@ -265,3 +265,30 @@ def test_small_sketches_are_exact_and_differ_exactly(spark):
     assert {tuple(r) for r in sketches.stopped_estimate(made).collect()} == {(1991, 300)}
     assert {tuple(r) for r in sketches.stopped_estimate(made, 2).collect()} == {(1993, 699 + 1)}
     assert sketches.estimated(sketches.station_sketches(daily.limit(0))).collect() == []
+
+
+# Counted while written
+
+
+def test_a_landed_table_is_measured_by_its_own_write(spark):
+    context = spark.sparkContext
+    tracker = context.statusTracker()
+    df = D.customer_stations(spark, SF)
+
+    def jobs(group, run):
+        context.setJobGroup(group, group)
+        out = run()
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return out, len(tracker.getJobIdsForGroup(group))
+
+    (landed, facts), measured = jobs("measured", lambda: sizing.landed_and_measured(df, "stations"))
+    _, written = jobs("written", lambda: sizing.sinks.save(df, sizing.sinks.shared_path(spark, "plain")))
+    assert measured == written
+    assert facts["N_ROWS"] == df.count()
+    assert facts["N_BYTES"] == df.agg(F.sum(sizing.row_bytes(df))).first()[0]
+    assert sorted(map(repr, landed.collect())) == sorted(map(repr, df.collect()))
+    daily = D.order_observations(spark, SF)
+    assert [f.kind for f in audit.findings(daily.join(landed, "ID"))] == []
+    large, _ = sizing.landed_and_measured(df, "stations", limit_bytes=10)
+    assert "strategy=broadcast" not in large._jdf.queryExecution().optimizedPlan().toString()
+    assert sizing.landed_and_measured(df.limit(0), "none")[1] == {"N_ROWS": 0, "N_BYTES": 0}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weatherloom.functions import columns as C
-from weatherloom.operators import counts, enrich, names, presence, selection, sketches, unpaired
+from weatherloom.operators import counts, enrich, names, presence, selection, sizing, sketches, unpaired
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
 from weatherloom.plans.source_queries import csv_lines
@@ -397,3 +397,20 @@ def stopped_stations_from_sketches(spark: SparkSession, sf_dir: str) -> DataFram
     sizes = before.groupBy("YEAR").agg(F.count(F.lit(1)).alias("of"))
     both = estimates.join(exact, "YEAR", "left").join(sizes, "YEAR").withColumn("N_STOPPED", F.coalesce("N", F.lit(0)))
     return both.select("YEAR", "N_STOPPED", _within("estimate", "N_STOPPED", "of").alias("WITHIN_BOUND"))
+
+
+# Counted while written ----------------------------------------------------------------------
+
+
+@query(
+    "rows_counted_while_landing",
+    D.given(
+        "daily", "stations", "inventory",
+        then="""SELECT 'daily' AS DATASET, count(*) AS N_ROWS FROM daily
+                UNION ALL SELECT 'stations', count(*) FROM stations UNION ALL SELECT 'inventory', count(*) FROM inventory""",
+    ),
+)
+def rows_counted_while_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {"daily": D.order_observations, "stations": D.customer_stations, "inventory": D.inventory}
+    facts = [(name, sizing.landed_and_measured(table(spark, sf_dir), name)[1]["N_ROWS"]) for name, table in tables.items()]
+    return spark.createDataFrame(facts, "DATASET string, N_ROWS long")
