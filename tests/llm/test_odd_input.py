@@ -23,7 +23,7 @@ def test_language(odd_docs):
     und = {r["doc_id"] for r in got.filter("lang_pred = 'und'").collect()}
     assert {1, 2, 3, 10} <= und and not und & {4, 5, 6, 8}
     empty = odd_docs.limit(0)
-    assert langid.fit(empty)[0] == [] and langid.predict(empty, langid.fit(empty), ["doc_id"]).count() == 0
+    assert list(langid.fit(empty).blocks()) == [] and langid.predict(empty, langid.fit(empty), ["doc_id"]).count() == 0
     assert {r["lang_pred"] for r in langid.predict(odd_docs, langid.fit(empty), ["doc_id"]).collect()} == {"und"}
 
 
@@ -84,7 +84,7 @@ def test_chunks_cover_the_text():
         data = np.frombuffer(text.encode(), np.uint8)
         ends = chunks.chunk_ends(data)
         parts = [data[a:b].tobytes() for a, b in zip([0, *ends], ends)]
-        assert b"".join(parts).decode() == text and all(p.decode() and len(p) <= chunks.MAX_CHUNK for p in parts)
+        assert b"".join(parts).decode() == text and all(p.decode() for p in parts) and all(len(p) <= chunks.CUT_WINDOW for p in parts[1:-1])
 
 
 def test_chat(spark):

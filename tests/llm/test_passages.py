@@ -39,7 +39,7 @@ def test_passages_of_51_words_go_whole(docs_of, different):
     left = left_of(docs_of(rows))
     assert all(left[2 * k] == rows[2 * k][1] for k in range(60)) or different == 2
     for doc, (front, back, size) in ends.items():
-        if size >= chunks.MAX_CHUNK:
+        if size >= chunks.SURE_BYTES:
             # The bytes beside a passage may happen to be equal as well, and parts of it may stand in it before.
             assert len(left[doc]) <= len(front) + len(back)
 
@@ -51,22 +51,28 @@ def test_border_bytes_and_characters(docs_of):
     assert left[2] == "two ©è fin"
 
 
-def test_periodic_text_keeps_few_pieces():
-    import numpy as np
+def test_periodic_text_has_few_chunks():
+    for unit in (b"ab", b"x", b"one two three, ", b"a bit longer than one half of the window "):
+        ends, digests = chunks._digested(np.frombuffer(unit * 20000, np.uint8)[:40000])
+        moved, others = chunks._digested(np.frombuffer(b"something else" + unit * 20000, np.uint8)[:40000])
+        assert len(ends) < 2000 and len(set(digests[1:-1])) <= 2 and set(digests[2:-2]) == set(others[6:-2])
 
-    starts, digests = chunks._pieces(np.frombuffer(b"ab" * 20000, np.uint8))
-    assert len(starts) < 1000 and len(set(digests)) <= 2 and max(np.diff(starts)) <= chunks.CUT_WINDOW
 
-
-def test_joined_pieces_and_extension():
-    import numpy as np
-
-    hits = [(10, 1, 5, 40), (60, 1, 5, 90), (60 + 300, 1, 5, 390), (100, 2, 6, 0)]
-    assert sorted(chunks.joined_pieces(hits)) == [(10, 124, 1, 5, 40, 154), (100, 164, 2, 6, 0, 64), (360, 424, 1, 5, 390, 454)]
+def test_joined_chunks_and_extension():
+    hits = [(10, 50, 1, 5, 40), (60, 64, 1, 5, 90), (60 + 300, 64, 1, 5, 390), (100, 64, 2, 6, 0)]
+    assert sorted(chunks.joined_chunks(hits)) == [(10, 124, 1, 5, 40, 154), (100, 164, 2, 6, 0, 64), (360, 424, 1, 5, 390, 454)]
     data = np.frombuffer("abcé-é".encode(), np.uint8)
     assert chunks.extended(data, 3, 5, b"xbc", "-è".encode()) == (1, 6)
 
 
+def test_short_repeats_stay(docs_of):
+    rng = random.Random(8)
+    fifty, less = (words(rng, n, 60) for n in (50, 30))
+    rows = [(1, f"one {less}. {fifty} end"), (2, f"two {less}, {fifty} fin")]
+    left = left_of(docs_of(rows))
+    assert left[1] == rows[0][1] and less in left[2] and fifty not in left[2]
+
+
 def test_different_texts_under_one_id_lose_what_they_share(docs_of):
     passage = words(random.Random(5), 60, 60)
     for doc_id in (7, None):

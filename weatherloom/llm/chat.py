@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weatherloom.llm.ngrams import text_bytes
+
 #: A turn is ``### role:\n text </turn>\n`` without the blanks.
 _OPEN, _MIDDLE, _CLOSE = b"### ", b":\n", b"</turn>\n"
 _END = "</turn>"
@@ -42,9 +44,8 @@ def unescape_role(role: str) -> str:
 
 def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bytes, starts, lengths) of a string column without nulls."""
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
-    return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at[:-1], np.diff(at)
+    data, at = text_bytes(column)
+    return data, at[:-1], np.diff(at)
 
 
 def _scatter(out: np.ndarray, to: np.ndarray, source: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:

@@ -1,4 +1,4 @@
-"""Substring dedup: pieces at content-defined cuts, found again by digest and extended byte by byte."""
+"""Substring dedup: variable chunks between content-defined cuts, found again by digest and extended byte by byte."""
 
 from __future__ import annotations
 
@@ -12,17 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import BROADCAST_ROWS, text_hash, tidy_map, written
+from weatherloom.llm.common import BROADCAST_ROWS, small, text_hash, tidy_map, written
 
-#: Of so many neighbouring places the one with the least hash is a cut.
+#: Of so many neighbouring places the one with the least hash is a cut; no chunk is longer.
 CUT_WINDOW = 64
-#: Bytes from a cut on that are looked for elsewhere; not less than CUT_WINDOW, so that they cover the text.
-PIECE = 64
-#: No two cuts are further apart; a text starts and ends with at most so many bytes without one.
-MAX_CHUNK = CUT_WINDOW + PIECE
-#: What is repeated goes where so many bytes of it stand together.
-MIN_RUN = 96
+#: Bytes whose hash is that of a place.
 _WINDOW = 16
+#: Any so many bytes that two texts share hold a whole chunk of both.
+SURE_BYTES = 2 * CUT_WINDOW + _WINDOW - 1
+#: Bytes on either side of equal chunks that are compared as well.
+BORDER = 128
+#: What is repeated goes where it holds so many words (white space or ends around them), or
+MIN_WORDS = 50
+#: so many bytes, for long words and scripts without spaces.
+MIN_BYTES = 400
+#: Chunks of one text in one row, and in one batch.
+_CHUNKS_AT_ONCE = 50_000
+#: Digests seen twice that are broadcast to the tasks that look for them, 8 bytes each.
+_BROADCAST_DIGESTS = 2_000_000
 _STEP = 1 << 20
 #: One random number per byte value, for the gear hash.
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, np.uint32)
@@ -40,58 +47,65 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def cuts(data: np.ndarray) -> np.ndarray:
-    """Where the pieces of one text start: at the least hash of every CUT_WINDOW neighbouring places.
+    """Where the chunks of one text begin, but for the first: at the least hash of every CUT_WINDOW neighbouring places.
 
     The hash is of the 16 bytes from a place on, only starts of characters count, and of equal hashes the
-    first one is least. So the bytes around decide alone, whatever the script, and any MAX_CHUNK - 1 bytes
-    that two texts share hold a piece at the same place in both. A text too short for that has one cut, one
-    shorter than PIECE none.
+    first one is least. So the bytes around decide alone, whatever the script, and any SURE_BYTES bytes
+    that two texts share hold two cuts of both. A text with less than CUT_WINDOW places has no cuts.
     """
-    places = len(data) - PIECE + 1
-    if places < 1:
-        return np.zeros(0, np.int64)
-    found = []
-    for a in range(0, max(places - CUT_WINDOW + 1, 1), _STEP):
+    places = len(data) - _WINDOW + 1
+    found = [np.zeros(0, np.int64)]
+    for a in range(0, places - CUT_WINDOW + 1, _STEP):
         stop = min(a + _STEP + CUT_WINDOW - 1, places)
         part = data[a : stop + _WINDOW - 1]
         h = gear_hashes(part)[_WINDOW - 1 :] * _SPREAD
         h ^= h >> np.uint32(15)
         h[part[: len(h)] & 0xC0 == 0x80] = 0xFFFFFFFF
         least = (h.astype(np.uint64) << np.uint64(32)) + np.arange(len(h), dtype=np.uint64)
-        if len(least) < CUT_WINDOW:
-            least = least.min(keepdims=True)
-        else:
-            width = 1
-            while width < CUT_WINDOW:
-                least = np.minimum(least[:-width], least[width:])
-                width *= 2
+        width = 1
+        while width < CUT_WINDOW:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
         at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
         found.append(at[np.diff(at, prepend=-1) > 0])
     at = np.concatenate(found)
-    at = at[np.diff(at, prepend=-1) > 0]
-    return at[data[at] & 0xC0 != 0x80]
+    return at[np.diff(at, prepend=-1) > 0]
+
+
+def _digested(text: np.ndarray) -> tuple[list[int], list[bytes]]:
+    """(ends, digests) of the chunks of a text, from cut to cut.
+
+    Where a text repeats itself a few bytes make a chunk; of equal neighbours as many as fit into
+    CUT_WINDOW are one, which is the same wherever the repetition begins.
+    """
+    raw, ends = text.tobytes(), [c for c in cuts(text).tolist() if c] + [len(text)] * (len(text) > 0)
+    parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
+    if any(x == y for x, y in zip(parts, parts[1:])):
+        joined, i = [], 0
+        while i < len(parts):
+            most, j = max(CUT_WINDOW // len(parts[i]), 1), i + 1
+            while j < len(parts) and j - i < most and parts[j] == parts[i]:
+                j += 1
+            joined.append(j - 1)
+            i = j
+        ends = [ends[j] for j in joined]
+        parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
+    return ends, [xxhash.xxh3_128_digest(part) for part in parts]
 
 
 def chunk_ends(data: np.ndarray) -> list[int]:
-    """Where the chunks between the cuts of one text end; none is longer than MAX_CHUNK."""
-    return [c for c in cuts(data).tolist() if c] + [len(data)] * (len(data) > 0)
+    """Where the chunks of one text end; none but the first and the last is longer than CUT_WINDOW."""
+    return _digested(data)[0]
 
 
-def _pieces(text: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """(starts, digests) of the pieces of a text; of equal ones within CUT_WINDOW only as many as cover it."""
-    raw = text.tobytes()
-    starts = cuts(text).tolist()
-    digests = [xxhash.xxh3_128_digest(raw[a : a + PIECE]) for a in starts]
-    kept: list[int] = []
-    for i, d in enumerate(digests):
-        inner = kept and i + 1 < len(digests) and digests[i - 1] == d == digests[i + 1]
-        if not inner or starts[i + 1] - starts[kept[-1]] > CUT_WINDOW:
-            kept.append(i)
-    return [starts[i] for i in kept], [digests[i] for i in kept]
+_CHUNKS = "doc_id long, text_hash long, chunks array<struct<start:int,size:int>>, d1 array<long>, d2 array<long>"
 
 
-def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, start, d1, d2): the pieces of every whole text; d1 and d2 are a 128-bit digest."""
+def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_size: int = 1) -> DataFrame:
+    """(doc_id, text_hash, chunks, d1, d2): the variable chunks of every whole text, d1 and d2 are a 128-bit digest.
+
+    A text has one row for each _CHUNKS_AT_ONCE chunks, one of less than ``min_size`` bytes has none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,61 +113,75 @@ def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             parts: list[tuple] = []
             held = 0
             for row in range(len(batch)):
-                parts.append((row, *_pieces(data[offsets[row] : offsets[row + 1]])))
-                held += len(parts[-1][1])
-                if held > 200_000:
-                    yield _chunk_batch(batch, parts)
-                    parts, held = [], 0
+                if offsets[row + 1] - offsets[row] < min_size:
+                    continue
+                ends, digests = _digested(data[offsets[row] : offsets[row + 1]])
+                for a in range(0, len(ends), _CHUNKS_AT_ONCE):
+                    own = ends[a : a + _CHUNKS_AT_ONCE]
+                    parts.append((row, [ends[a - 1] if a else 0, *own[:-1]], own, digests[a : a + _CHUNKS_AT_ONCE]))
+                    held += len(own)
+                    if held > _CHUNKS_AT_ONCE:
+                        yield _chunk_batch(batch, parts)
+                        parts, held = [], 0
             yield _chunk_batch(batch, parts)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    return tidy_map(rows, run, "doc_id long, text_hash long, start int, d1 long, d2 long")
+    return tidy_map(rows, run, _CHUNKS)
 
 
 def _chunk_batch(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
-    rows = pa.array(np.repeat([p[0] for p in parts], [len(p[1]) for p in parts]).astype(np.int32))
+    rows = pa.array(np.array([p[0] for p in parts], np.int32))
     starts = np.array([a for p in parts for a in p[1]], np.int32)
-    marks = np.frombuffer(b"".join(d for p in parts for d in p[2]), "<i8").reshape(-1, 2)
-    arrays = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts), pa.array(marks[:, 0]), pa.array(marks[:, 1])]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "start", "d1", "d2"])
+    ends = np.array([b for p in parts for b in p[2]], np.int32)
+    marks = np.frombuffer(b"".join(d for p in parts for d in p[3]), "<i8").reshape(-1, 2)
+    edges = pa.array(np.cumsum([0, *(len(p[1]) for p in parts)]).astype(np.int32))
+    spans = pa.StructArray.from_arrays([pa.array(starts), pa.array(ends - starts)], ["start", "size"])
+    lists = [pa.ListArray.from_arrays(edges, x) for x in (spans, pa.array(marks[:, 0]), pa.array(marks[:, 1]))]
+    return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *lists], ["doc_id", "text_hash", "chunks", "d1", "d2"])
 
 
-_RUN = "struct<start:int,end:int,f_id:long,f_hash:long,f_start:int,f_end:int>"
+_RUN = "start int, end int, f_id long, f_hash long, f_start int, f_end int"
 
 
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_size: int = 1) -> DataFrame:
     """(doc_id, text_hash, runs): byte ranges that an earlier place has too, with the bytes around that place.
 
-    Places go by (doc_id, text_hash, start), null ids last, so each piece stays at its first place; only
-    rows equal in id and text keep the same pieces. Pieces that follow each other here and there are one
-    run. Digests are counted before they meet, so a piece under a third of all rows is one row on
-    one side, and the other side is dealt out anew where it is uneven; so are the bytes around.
+    Places go by (doc_id, text_hash, start), null ids last, so each chunk stays at its first place; only
+    rows equal in id and text keep the same chunks. Chunks that follow each other here and there are one
+    run. Chunks are made once and written; half of each digest is counted, combined on the map side, and
+    only chunks whose half was seen twice move with their places. Texts of less than ``min_size`` bytes are left out. A chunk under a third of all rows is
+    one row on one side of each join, and the other side is dealt out anew where it is uneven.
     """
+    table = written(chunk_rows(docs, id_col, text_col, min_size), "chunks")
+    twice = table.select(F.explode("d1").alias("d1")).groupBy("d1").agg(F.count("*").alias("n")).filter("n > 1").select("d1")
+    twice = small(written(twice, "twice"), _BROADCAST_DIGESTS)
+    every = table.select("doc_id", "text_hash", F.inline(F.arrays_zip("chunks", "d1", "d2")))
+    chunks = written(every.select("doc_id", "text_hash", "chunks.start", "chunks.size", "d1", "d2").join(twice, "d1", "left_semi"), "candidates")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "start")
-    pieces = chunk_rows(docs, id_col, text_col)
-    firsts = written(pieces.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
-    again = pieces.join(firsts, ["d1", "d2"]).filter(place > F.col("first"))
-    hit = F.struct("start", F.col("first.doc_id").alias("f_id"), F.col("first.text_hash").alias("f_hash"), F.col("first.start").alias("f_start"))
+    firsts = written(chunks.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"), "repeated")
+    again = chunks.join(firsts, ["d1", "d2"]).filter(place > F.col("first"))
+    hit = F.struct("start", "size", F.col("first.doc_id").alias("f_id"), F.col("first.text_hash").alias("f_hash"), F.col("first.start").alias("f_start"))
     hits = again.groupBy("doc_id", "text_hash").agg(F.collect_set(hit).alias("hits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [joined_pieces([tuple(x.values()) for x in hits]) for hits in batch.column(2).to_pylist()]
+            found = [joined_chunks([tuple(x.values()) for x in hits]) for hits in batch.column(2).to_pylist()]
             rows = pa.array(np.repeat(np.arange(len(batch)), [len(f) for f in found]).astype(np.int32))
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
             arrays = [pa.array([r[i] for f in found for r in f], kind) for i, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *arrays], ["doc_id", "text_hash", "start", "end", "f_id", "f_hash", "f_start", "f_end"])
 
-    runs = written(hits.mapInArrow(run, f"doc_id long, text_hash long, {_RUN[7:-1].replace(':', ' ')}"), "runs")
+    runs = written(hits.mapInArrow(run, f"doc_id long, text_hash long, {_RUN}"), "runs")
     there = ["f_id", "f_hash", "f_start", "f_end"]
-    wanted = written(runs.select(*there).distinct().groupBy("f_id", "f_hash").agg(F.collect_list(F.struct("f_start", "f_end")).alias("places")), "wanted")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("binary").alias("data"))
-    if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    places = written(runs.select(*there).distinct(), "places")
+    wanted = places.groupBy("f_id", "f_hash").agg(F.collect_list(F.struct("f_start", "f_end")).alias("places"))
+    if places.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("binary").alias("data"))
     theirs = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["f_id"]) & (rows["text_hash"] == wanted["f_hash"]))
     theirs = theirs.select("f_id", "f_hash", "data", F.explode("places").alias("p")).select("f_id", "f_hash", "p.f_start", "p.f_end", "data")
-    lead = F.greatest(F.col("f_start") - MAX_CHUNK, F.lit(0))
-    before, after = F.substring("data", lead + 1, F.col("f_start") - lead), F.substring("data", F.col("f_end") + 1, F.lit(MAX_CHUNK))
+    lead = F.greatest(F.col("f_start") - BORDER, F.lit(0))
+    before, after = F.substring("data", lead + 1, F.col("f_start") - lead), F.substring("data", F.col("f_end") + 1, F.lit(BORDER))
     theirs = theirs.select(*there, before.alias("before"), after.alias("after")).dropDuplicates(there).withColumnsRenamed({c: f"{c}_" for c in there})
     same = runs["f_id"].eqNullSafe(theirs["f_id_"])
     for c in there[1:]:
@@ -161,16 +189,16 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return runs.join(theirs, same).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end", "before", "after")).alias("runs"))
 
 
-def joined_pieces(hits: list[tuple]) -> list[tuple]:
-    """(start, end, f_id, f_hash, f_start, f_end) of pieces (start, f_id, f_hash, f_start) that touch here and there."""
+def joined_chunks(hits: list[tuple]) -> list[tuple]:
+    """(start, end, f_id, f_hash, f_start, f_end) of chunks (start, size, f_id, f_hash, f_start) that touch here and there."""
     out: list[list] = []
     last: dict[tuple, list] = {}
-    for start, f_id, f_hash, f_start in sorted(hits, key=lambda hit: hit[0]):
+    for start, size, f_id, f_hash, f_start in sorted(hits, key=lambda hit: hit[0]):
         key = (f_id, f_hash, f_start - start)
         if key in last and start <= last[key][1]:
-            last[key][1], last[key][5] = start + PIECE, f_start + PIECE
+            last[key][1], last[key][5] = start + size, f_start + size
         else:
-            last[key] = [start, start + PIECE, f_id, f_hash, f_start, f_start + PIECE]
+            last[key] = [start, start + size, f_id, f_hash, f_start, f_start + size]
             out.append(last[key])
     return [tuple(r) for r in out]
 
@@ -199,7 +227,7 @@ def extended(data: np.ndarray, start: int, end: int, before: bytes, after: bytes
 _RANGES = "array<struct<start:int,end:int>>"
 
 
-def _cut_out(min_run: int, text: Column, runs_col: Column) -> Column:
+def _cut_out(min_words: int, min_bytes: int, text: Column, runs_col: Column) -> Column:
     """struct<removed, kept> of a text and its runs, null where it loses nothing."""
 
     @F.arrow_udf(f"struct<removed:{_RANGES},kept:{_RANGES}>")
@@ -210,7 +238,7 @@ def _cut_out(min_run: int, text: Column, runs_col: Column) -> Column:
         for row in range(len(text)):
             own = data[offsets[row] : offsets[row + 1]]
             spans = [extended(own, *x.values()) for x in found[row].as_py() or []]
-            gone = runs([(a, b - a) for a, b in spans], min_run)
+            gone = [(a, b) for a, b in runs(spans) if b - a >= min_bytes or words_in(own[a:b]) >= min_words]
             kept = list(zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), (1 << 31) - 1]))
             lists = [[{"start": a, "end": b} for a, b in r] for r in (gone, kept)]
             rows.append(dict(zip(("removed", "kept"), lists)) if gone else None)
@@ -219,31 +247,39 @@ def _cut_out(min_run: int, text: Column, runs_col: Column) -> Column:
     return ranges(F.when(runs_col.isNotNull(), text), runs_col)
 
 
-def runs(spans: list[tuple[int, int]], min_run: int = MIN_RUN) -> list[tuple[int, int]]:
-    """(start, end) of spans (start, size) that touch or overlap, where together they have at least ``min_run`` bytes."""
+def words_in(data: np.ndarray) -> int:
+    """Stretches without white space, cut ones at the ends included."""
+    inside = ~ngrams.WHITE[data]
+    return int(np.count_nonzero(np.diff(inside.astype(np.int8), prepend=0) > 0))
+
+
+def runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of what spans (start, end) cover that touch or overlap."""
     joined: list[list[int]] = []
-    for start, size in sorted(spans):
+    for start, end in sorted(spans):
         if joined and start <= joined[-1][1]:
-            joined[-1][1] = max(joined[-1][1], start + size)
+            joined[-1][1] = max(joined[-1][1], end)
         else:
-            joined.append([start, start + size])
-    return [(a, b) for a, b in joined if b - a >= min_run]
+            joined.append([start, end])
+    return [(a, b) for a, b in joined]
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """All columns of ``docs``, the text without its repeated runs, and the new column removed_spans.
 
-    removed_spans holds (start, end) in bytes of the UTF-8 text given. Null and empty texts stay as
-    they are, with no spans. Rows repeated with id and text keep the same text. A text may
-    become empty. A column of ``docs`` named removed_spans is replaced.
+    A run goes if it has ``min_words`` words or ``min_bytes`` bytes. Of stretches in common that are
+    shorter than SURE_BYTES some are not found; up to CUT_WINDOW bytes may stay at a border that only a later
+    copy shares, not the first place. removed_spans holds (start, end) in bytes of the UTF-8 text given.
+    Null and empty texts stay as they are, with no spans. Rows repeated with id and text keep the same
+    text. A text may become empty. A column of ``docs`` named removed_spans is replaced.
     """
     mark = uuid.uuid4().hex
-    found = repeated_runs(docs, id_col, text_col)
+    found = repeated_runs(docs, id_col, text_col, max(min(2 * min_words - 1, min_bytes), 1))
     found = found.select(*(F.col(c).alias(f"{c}{mark}") for c in found.columns))
     same = docs[id_col].cast("long").eqNullSafe(found[f"doc_id{mark}"]) & (text_hash(docs[text_col]) == found[f"text_hash{mark}"])
     joined = docs.join(found, same, "left")
     data, parts = F.col(text_col).cast("binary"), F.col(f"p{mark}")
-    joined = joined.withColumn(f"p{mark}", _cut_out(min_run, F.col(text_col), F.col(f"runs{mark}")))
+    joined = joined.withColumn(f"p{mark}", _cut_out(min_words, min_bytes, F.col(text_col), F.col(f"runs{mark}")))
     left = F.array_join(F.transform(parts["kept"], lambda r: F.substring(data, r["start"] + 1, r["end"] - r["start"]).cast("string")), "")
     removed = F.coalesce(parts["removed"], F.array().cast(_RANGES))
     changed = joined.withColumns({f"t{mark}": F.when(parts.isNull(), F.col(text_col)).otherwise(left), f"r{mark}": removed})

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes worked on at once. A longer text is cut after white space, never inside a word; n-grams do not span a cut.
+#: Bytes worked on at once. A longer text is cut after white space, never inside a word; :func:`counted` adds what spans a cut.
 PIECE_BYTES = 1 << 20
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -44,6 +44,14 @@ def _cut(data: np.ndarray, start: int, limit: int) -> int:
     return len(data)
 
 
+def _cuts(data: np.ndarray, at: int, end: int, limit: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of the pieces of the text data[at:end]."""
+    while at < end:
+        to = end if end - at <= limit else _cut(data[:end], at, limit)
+        yield at, to
+        at = to
+
+
 def pieces(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, where segments start in them, their rows): whole rows up to ``limit``, longer ones cut. Empty rows do not appear."""
     row, rows = 0, len(offsets) - 1
@@ -51,11 +59,8 @@ def pieces(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> I
         first, last = row, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1
         last = min(max(last, row + 1), rows)
         if last == row + 1 and offsets[last] - offsets[row] > limit:
-            at, end = int(offsets[row]), int(offsets[last])
-            while at < end:
-                to = end if end - at <= limit else _cut(data[:end], at, limit)
+            for at, to in _cuts(data, int(offsets[row]), int(offsets[last]), limit):
                 yield data[at:to], np.zeros(1, np.int64), np.array([row])
-                at = to
         else:
             own = np.arange(first, last)
             own = own[offsets[first + 1 : last + 1] > offsets[first:last]]
@@ -64,6 +69,46 @@ def pieces(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> I
         row = last
 
 
+def crossings(data: np.ndarray, offsets: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, piece before the cut, all of the text behind it) for every cut that :func:`pieces` makes."""
+    for row in np.flatnonzero(np.diff(offsets) > limit).tolist():
+        end = int(offsets[row + 1])
+        for at, to in _cuts(data, int(offsets[row]), end, limit):
+            if to < end:
+                yield row, data[at:to], data[to:end]
+
+
+def _next(data: np.ndarray, at: int, white: bool) -> int:
+    """The first place from ``at`` on that is white space, or is none; the end if there is no such place."""
+    while at < len(data):
+        found = np.flatnonzero(WHITE[data[at : at + 4096]] == white)
+        if len(found):
+            return at + int(found[0])
+        at += 4096
+    return len(data)
+
+
+def crossing_words(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """The last word before a cut and the first one behind it; empty if one of them is missing."""
+    inside = np.flatnonzero(~WHITE[before])
+    start = _next(after, 0, False)
+    if not len(inside) or start == len(after):
+        return before[:0]
+    last = before[: inside[-1] + 1]
+    gaps = np.flatnonzero(WHITE[last])
+    last = last[gaps[-1] + 1 :] if len(gaps) else last
+    return np.concatenate([last, np.array([0x20], np.uint8), after[start : _next(after, start, True)]])
+
+
+def crossing_grams(before: np.ndarray, after: np.ndarray, n: int) -> np.ndarray:
+    """Bytes whose n-grams are those that start in the piece before a cut and end behind the cut."""
+    tail, head = before[max(len(before) - 4 * (n - 1), 0) :], after[: 4 * (n - 1) + 1]
+    first, last = (np.flatnonzero(part & 0xC0 != 0x80) for part in (tail, head))
+    if n < 2 or not len(first):
+        return before[:0]
+    return np.concatenate([tail[first[max(len(first) - n + 1, 0)] :], head[: last[n - 1]] if len(last) >= n else head])
+
+
 def power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if _powers is None or len(_powers[0]) < size:
@@ -166,12 +211,22 @@ def families(chunk: np.ndarray, starts: np.ndarray, buckets: int) -> list[tuple[
     return [(bucket(hashes, buckets), counts), (bucket(pair, buckets), pairs), grams(points, at, 3, buckets)]
 
 
-def mean_weights(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def counted(data: np.ndarray, offsets: np.ndarray, buckets: int, limit: int = PIECE_BYTES) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
+    """(rows, their FAMILIES) of the pieces, then of what spans their cuts: each n-gram of each whole text once, whatever the limit."""
+    for chunk, starts, own in pieces(data, offsets, limit):
+        yield own, families(chunk, starts, buckets)
+    start, none = np.zeros(1, np.int64), (np.zeros(0, np.int64), np.zeros(1, np.int64))
+    for row, before, after in crossings(data, offsets, limit):
+        parts = [before[:0], crossing_words(before, after), crossing_grams(before, after, 3)]
+        yield np.array([row]), [families(part, start, buckets)[f] if len(part) else none for f, part in enumerate(parts)]
+
+
+def mean_weights(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, limit: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """(mean weight of the row's n-grams, n-grams) by family and row; zero without n-grams. ``weights``: family x bucket."""
     rows = len(offsets) - 1
     sums, counts = np.zeros((len(weights), rows)), np.zeros((len(weights), rows))
-    for chunk, starts, own in pieces(data, offsets):
-        for f, (index, n) in enumerate(families(chunk, starts, weights.shape[1])):
+    for own, found in counted(data, offsets, weights.shape[1], limit):
+        for f, (index, n) in enumerate(found):
             sums[f, own] += segment_sums(weights[f][index], n)
             counts[f, own] += n
     return sums / np.maximum(counts, 1), counts

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
+from weatherloom.llm.common import text_hash
 from weatherloom.llm.linear import fit_logistic, fit_platt, sigmoid
 
 BUCKETS = 1 << 16
@@ -110,7 +111,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Their sparse n-gram frequencies are made in the tasks. A quarter of the rows calibrates the
     probabilities and is not learned from. Without rows of both classes every text gets
-    probability one half or the share of the class there is.
+    probability one half or the share of the class there is. Rows equal in id and text count once.
+    Where ids repeat with many texts, the texts are drawn by hash as well, about twice
+    ``rows_per_class`` in all: no more come to the driver, however many rows a labelled id has.
     """
     known = labels.select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) > 0).cast("int").alias("label")).dropna().groupBy("id").agg(F.max("label").alias("label"))
     sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -118,14 +121,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     share = F.when(F.col("label") == 1, F.lit(min(1.0, rows_per_class / max(sizes.get(1, 0), 1)))).otherwise(F.lit(min(1.0, rows_per_class / max(sizes.get(0, 0), 1))))
     drawn = known.filter(part < share * (1 << 30)).withColumn("held", F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(4)) == 0)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(drawn), "id")
+    rows = rows.withColumn("text_hash", text_hash(F.col("text")))
+    found = rows.select("id", "text_hash").distinct().count()
+    place = F.pmod(F.xxhash64(F.lit(2), "id", "text_hash"), F.lit(1 << 30))
+    rows = rows.filter(place < F.lit(min(1.0, 2 * rows_per_class / max(found, 1)) * (1 << 30))).dropDuplicates(["id", "text_hash"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = ngrams.text_bytes(batch.column(2))
             n = len(batch)
             totals, keys = np.zeros((len(ngrams.FAMILIES), n)), []
-            for chunk, starts, own in ngrams.pieces(data, offsets):
-                for f, (index, each) in enumerate(ngrams.families(chunk, starts, BUCKETS)):
+            for own, found in ngrams.counted(data, offsets, BUCKETS):
+                for f, (index, each) in enumerate(found):
                     keys.append((np.repeat(own, each) * len(ngrams.FAMILIES) + f) * BUCKETS + index)
                     totals[f, own] += each
             key, times = np.unique(np.concatenate([np.zeros(0, np.int64), *keys]), return_counts=True)
@@ -133,9 +140,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             value = _PERCENT * times / totals[rest // BUCKETS, row]
             edges = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
             lists = [pa.ListArray.from_arrays(pa.array(edges), pa.array(x)) for x in (rest.astype(np.int32), value.astype(np.float32))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(3), *lists], ["label", "held", "at", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), batch.column(1), batch.column(3), *lists], ["id", "text_hash", "label", "held", "at", "value"])
 
-    table = rows.select("id", "label", "text", "held").mapInArrow(features, "label int, held boolean, at array<int>, value array<float>").toArrow()
+    schema = "id long, text_hash long, label int, held boolean, at array<int>, value array<float>"
+    table = rows.select("id", "label", "text", "held", "text_hash").mapInArrow(features, schema).toArrow()
+    table = table.sort_by([("id", "ascending"), ("text_hash", "ascending")])
     label = table["label"].to_numpy().astype(int) if len(table) else np.zeros(0, int)
     held = table["held"].to_numpy(zero_copy_only=False).astype(bool) if len(table) else np.zeros(0, bool)
     size = len(ngrams.FAMILIES) * BUCKETS
@@ -155,8 +164,6 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(weights.reshape(len(ngrams.FAMILIES), BUCKETS), bias, slope, shift)
 
 
-
-
 def judged(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", min_probability: float = MIN_PROBABILITY) -> DataFrame:
     """doc_id, COUNTS, base_failed, p_quality and kept of every row.
 

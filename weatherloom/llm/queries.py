@@ -53,7 +53,7 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = resample.resampled(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return sample.select("doc_id", "log_weight", "draw", "kept")
+    return sample.select("doc_id", "log_ratio", "log_weight", "draw", "kept")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from weatherloom.llm.common import text_hash, tidy_map, without_rows, written
 BUCKETS = 1 << 14
 #: About so many rows labelled good are drawn as the target, by hash of doc_id.
 TARGET_ROWS = 20_000
-#: The n-grams of a text are not independent: they weigh no more than so many that are.
+#: The n-grams of a text are not independent: whatever its length, it weighs as so many that are, with its mean log ratio.
 EFFECTIVE_NGRAMS = 64.0
 #: Rows whose log weight is lower do not count towards the size of the sample.
 MIN_LOG_WEIGHT = -8.0
@@ -41,8 +41,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             data, offsets = ngrams.text_bytes(batch.column(0))
             chosen = batch.column(1).fill_null(False).to_numpy(zero_copy_only=False)
-            for chunk, starts, own in ngrams.pieces(data, offsets):
-                for f, (index, n) in enumerate(ngrams.families(chunk, starts, BUCKETS)):
+            for own, found in ngrams.counted(data, offsets, BUCKETS):
+                for f, (index, n) in enumerate(found):
                     part = slice(f * BUCKETS, (f + 1) * BUCKETS)
                     raw[part] += np.bincount(index, minlength=BUCKETS)
                     if chosen[own].any():
@@ -59,13 +59,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return models[1] - models[0]
 
 
-def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", seed: int = _SEED) -> DataFrame:
-    """(doc_id, text_hash, log_weight, draw) of every row; ratios is broadcast, its size is fixed.
+def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_col: str = "text", seed: int = _SEED, effective_ngrams: float = EFFECTIVE_NGRAMS) -> DataFrame:
+    """(doc_id, text_hash, log_ratio, log_weight, draw) of every row; ratios is broadcast, its size is fixed.
 
-    log_weight is the log importance: the mean over the families of the summed log ratios of the
-    text's n-grams, where more than EFFECTIVE_NGRAMS weigh as so many of their mean. A null
-    text or one without words is no text: its weight is minus a million. ``draw`` adds Gumbel noise
-    that is a hash of seed and row, so a repeated row has the same draw and a lost task repeats it.
+    log_ratio is that of the two generative models: the sum over all n-grams of the text, as the mean
+    over the families. Rows are drawn by the tempered log_weight: the mean log ratio of an n-gram
+    times ``effective_ngrams``, by one rule for every length. A null text or one without words
+    is no text: its ratio is 0 and its weight minus a million. ``draw`` adds Gumbel noise that is a hash
+    of seed and row, so a repeated row has the same draw and a lost task repeats it.
     """
     sent = docs.sparkSession.sparkContext.broadcast(ratios)
 
@@ -73,13 +74,15 @@ def weights(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text_co
         for batch in batches:
             data, offsets = ngrams.text_bytes(batch.column(2))
             mean, n = ngrams.mean_weights(data, offsets, sent.value)
-            value = (mean * np.minimum(n, EFFECTIVE_NGRAMS)).sum(axis=0) / len(ngrams.FAMILIES)
-            spoken = np.array([bool(data[a:b].tobytes().strip()) for a, b in zip(offsets[:-1], offsets[1:])], bool)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.where(spoken, value, -1e6))], ["doc_id", "text_hash", "log_weight"])
+            ratio = (mean * n).sum(axis=0) / len(ngrams.FAMILIES)
+            weight = mean.sum(axis=0) / len(ngrams.FAMILIES) * effective_ngrams
+            spoken = n[0] > 0
+            arrays = [batch.column(0), batch.column(1), pa.array(np.where(spoken, ratio, 0.0)), pa.array(np.where(spoken, weight, -1e6))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "log_ratio", "log_weight"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     u = (F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    return tidy_map(rows, run, "doc_id long, text_hash long, log_weight double").withColumn("draw", F.col("log_weight") - F.log(-F.log(u)))
+    return tidy_map(rows, run, "doc_id long, text_hash long, log_ratio double, log_weight double").withColumn("draw", F.col("log_weight") - F.log(-F.log(u)))
 
 
 def kth_largest(table: DataFrame, column: str, k: int) -> float:
@@ -101,7 +104,7 @@ def kth_largest(table: DataFrame, column: str, k: int) -> float:
 
 
 def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None) -> DataFrame:
-    """doc_id, text_hash, log_weight, draw and kept of every row: a sample of ``k`` rows without replacement.
+    """doc_id, text_hash, log_ratio, log_weight, draw and kept of every row: a sample of ``k`` rows without replacement.
 
     Rows are drawn in proportion to their importance by the Gumbel top-k trick. ``k`` is by default the
     number of rows with a log_weight of at least MIN_LOG_WEIGHT.
@@ -116,6 +119,10 @@ def resampled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns."""
+    """The rows of ``docs`` that are kept, with all their columns.
+
+    Rows with a null, empty or blank text go. Rows repeated with id and text stay or go together, null ids
+    count as equal. No rows give no rows. Extra columns stay as they are.
+    """
     gone = written(resampled(docs, labels).filter("not kept").select("doc_id", "text_hash").distinct(), "rejected")
     return without_rows(docs, gone)
