@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, clashing columns and empty tables for every operator."""
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +61,45 @@ def test_quality_rules(odd_docs, labels):
     assert quality_rules.judged(odd_docs.limit(0), model).count() == 0
 
 
+CUT_TEXTS = ["a b " * 50, None, "", LONG[:9000], " " * 300 + "x" * 500 + " y", "é\n" * 300, "q " * 31 + " " * 70 + "r s", "wörd ☃ 🙂 " * 40]
+
+
+@pytest.mark.parametrize("limit", [1, 3, 64, 200])
+def test_ngrams_do_not_depend_on_pieces(limit):
+    data, offsets = ngrams.text_bytes(pa.array(CUT_TEXTS))
+
+    def families(limit):
+        return Counter((r, f, x) for own, found in ngrams.counted(data, offsets, 1 << 16, limit) for f, (index, n) in enumerate(found) for r, x in zip(np.repeat(own, n).tolist(), index.tolist()))
+
+    def characters(limit):
+        return Counter((r, x) for own, index, n in langid._buckets(data, offsets, limit) for r, x in zip(np.repeat(own, n).tolist(), index.tolist()))
+
+    assert families(limit) == families(1 << 20) and characters(limit) == characters(1 << 20)
+    weights = np.random.default_rng(1).normal(size=(3, 1 << 10))
+    for a, b in zip(ngrams.mean_weights(data, offsets, weights, limit), ngrams.mean_weights(data, offsets, weights)):
+        assert np.allclose(a, b)
+    matrix = np.log(np.random.default_rng(2).random((langid.BUCKETS + 1, 3)))
+    cut, whole = langid.scores(data, offsets, matrix, limit), langid.scores(data, offsets, matrix)
+    assert np.allclose(cut, whole) and (cut.argmax(axis=1) == whole.argmax(axis=1)).all()
+
+
+def test_many_languages_in_blocks(docs_of):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(rng.choice([f"{chr(97 + k)}{chr(110 - k)}{c}" for c in "aeiou"], 30)), f"l{k}") for i, k in enumerate([*range(7)] * 4)]
+    docs = docs_of([*rows, (90, "12 34", None), (91, None, "l1")])
+    want = sorted(langid.predict(docs, langid.fit(docs), ["doc_id"]).collect())
+    assert [r["lang_pred"] for r in want[:28]] == [lang for _, _, lang in rows] and [r["lang_pred"] for r in want[28:]] == ["und"] * 2
+    for at_once in (1, 3):
+        got = sorted(langid.predict(docs, langid.fit(docs, langs_at_once=at_once), ["doc_id"]).collect())
+        assert [r[:2] for r in got] == [r[:2] for r in want] and np.allclose([r[2] for r in got], [r[2] for r in want])
+
+
+def test_training_rows_are_bounded(docs_of, labels):
+    docs = docs_of([(4, f"text number {i} of many under one id") for i in range(300)] + [(5, "the other class")] * 300)
+    model = quality_rules.fit(docs, labels, rows_per_class=20)
+    assert quality_rules.judged(docs, model).count() == 600
+
+
 def test_counts_do_not_depend_on_pieces(monkeypatch):
     texts = pa.array(["a b " * 50, None, "", LONG[:9000], "x" * 500 + " y", "é\n" * 300])
     whole = quality_rules.counts(*ngrams.text_bytes(texts))
@@ -246,6 +286,57 @@ def test_warc_magic_inside_data_and_many_ranges(spark, tmp_path):
         assert got == dict(enumerate(payloads))
 
 
+def test_warc_records_that_are_wrong():
+    digest = hashlib.sha256(b"ab").hexdigest()
+    sound = warc.record(1, "u", b"ab", digest, None, False)
+    assert warc.parse(sound)[4:] == (2, digest, b"ab", None)
+    for old, new, size, payload, error in [
+        (b"Content-Length: 2", b"Content-Length: x", 2, b"ab", "Content-Length is no number"),
+        (b"Content-Length: 2", b"Content-Length: -1", 2, b"ab", "Content-Length is no number"),
+        (b"Content-Length: 2", b"Content-Length: 99", 6, b"ab\r\n\r\n", "short block; digest differs"),
+        (b"Content-Length: 2", b"Content-Length: 1", 1, b"a", "long block; digest differs"),
+        (b"WARC-Type: response", b"X: y", 2, b"ab", "no WARC-Type"),
+        (b"\r\n\r\nab\r\n\r\n", b"", 0, b"", "header without end; short block; digest differs"),
+    ]:
+        got = warc.parse(sound.replace(old, new))
+        assert got[0] == 1 and got[4] == size and got[6:] == (payload, error)
+    revisit = warc.record(2, "u", b"ab", digest, 1, True)
+    assert warc.parse(revisit)[3:] == (1, 2, digest, None, None)
+    assert warc.parse(revisit.replace(b"X-Payload-Length: 2", b"X-Payload-Length: "))[3:] == (1, None, digest, None, "X-Payload-Length is no number")
+    assert warc.parse(b"HTTP/1.1\r\n\r\n") is None
+
+
+def test_warc_members_that_are_damaged(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    payloads = [rng.bytes(2000) for _ in range(6)]
+    members = [warc.member(warc.record(i, "u", p, hashlib.sha256(p).hexdigest(), None, False)) for i, p in enumerate(payloads)]
+    members[2] = members[2][:900] + bytes(40) + members[2][940:]
+    (tmp_path / "a.warc").write_bytes(b"".join(members)[:-700])
+    (tmp_path / "b.warc").write_bytes(b"not an archive, " * 500)
+    (tmp_path / "c.warc").write_bytes(b"")
+    (tmp_path / "d.warc").write_bytes(warc.member(b"no record" * 200) * 3)
+    for split in ("1500", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            got = warc.read(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert {r["page_id"]: bytes(r["payload"]) for r in got if r["error"] is None} == {i: payloads[i] for i in (0, 1, 3, 4)}
+        wrong = {r["page_id"] for r in got if r["error"] == "damaged or truncated member"}
+        assert {2, 5} <= wrong and all(r["payload"] is None for r in got if r["error"])
+        assert any(r["error"] == "no record" for r in got)
+
+
+def test_chat_with_wide_offsets():
+    narrow = [pa.array(["user", "assistant", "user"]), pa.array(["a\nb", "### x </turn>", ""])]
+    loss, conv = np.array([False, True, False]), np.array([1, 1, 2])
+    wide = [x.cast(pa.large_string()) for x in narrow]
+    one, two = chat.assemble(*narrow, loss, conv), chat.assemble(*wide, loss, conv)
+    assert one[0].to_pylist() == two[0].to_pylist() and str(one[1:]) == str(two[1:])
+
+
 def test_pipeline_stages_on_odd_rows(spark, odd_docs, labels, items, tmp_path):
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     items.withColumnRenamed("item_id", "item_id").write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -23,7 +23,7 @@ MIN_REVISIT_BYTES = 100
 _MEMBER_HEADER = MAGIC + b"\x00" + b"\x00" * 4 + b"\x00\xff"
 _LEVEL = 3
 _FIELD = re.compile(rb"^([^:\r\n]+):[ \t]*(.*?)[ \t]*\r?$", re.M)
-RECORD = "page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
+RECORD = "page_id long, target_uri string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary, error string"
 _FOUND = RECORD + ", kind string, file string, block long, part long, body binary"
 _ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
 _BATCH_BYTES = 8 << 20
@@ -95,25 +95,64 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     members.write.option("lineSep", "\u0000").option("compression", "none").text(path)
 
 
+def _number(value: str | None) -> int | None:
+    return int(value) if value is not None and re.fullmatch("[0-9]{1,18}", value) else None
+
+
 def parse(body: bytes) -> tuple | None:
-    """The columns of RECORD from the bytes of a record; None if they are none."""
+    """The columns of RECORD from the bytes of a record; None if they are none.
+
+    ``error`` names what is wrong, else it is null: a header without end, a WARC-Type that is missing, a
+    Content-Length that is no number (the payload then is the whole block) or not that of the block (it is
+    what there is of it), a digest that is not that of the payload, a stated length of a revisit that is no number.
+    """
     head, gap, block = body.partition(b"\r\n\r\n")
-    if not gap or not head.startswith(b"WARC/1."):
+    if not head.startswith(b"WARC/1."):
         return None
     fields = {k.strip().lower().decode("latin-1"): v.decode("utf-8", "replace") for k, v in _FIELD.findall(head)}
-    payload = block[: int(fields.get("content-length", 0))]
+    errors = [] if gap else ["header without end"]
 
-    def number(field: str) -> int | None:
-        digits = re.fullmatch(r"<urn:page:(-?\d+)>", fields.get(field, ""))
+    def page(field: str) -> int | None:
+        digits = re.fullmatch(r"<urn:page:(-?[0-9]{1,18})>", fields.get(field, ""))
         return int(digits[1]) if digits else None
 
-    kind = fields.get("warc-type")
+    kind, length = fields.get("warc-type"), _number(fields.get("content-length"))
+    if kind is None:
+        errors.append("no WARC-Type")
+    if length is None:
+        errors.append("Content-Length is no number")
+        block = block.removesuffix(b"\r\n\r\n")
+    elif length > len(block):
+        errors.append("short block")
+    elif block[length:].strip(b"\r\n"):
+        errors.append("long block")
+    payload = block if length is None else block[:length]
+    stated = fields.get("warc-payload-digest", "")
+    stated = stated.removeprefix("sha256:") if re.fullmatch("sha256:[0-9a-f]{64}", stated) else None
     if kind == "revisit":
-        digest = fields.get("warc-payload-digest", "").removeprefix("sha256:")
-        length, payload = int(fields.get("x-payload-length", 0)), None
+        size, digest, payload = _number(fields.get("x-payload-length")), stated, None
+        if size is None and "x-payload-length" in fields:
+            errors.append("X-Payload-Length is no number")
     else:
-        digest, length = hashlib.sha256(payload).hexdigest(), len(payload)
-    return number("warc-record-id"), fields.get("warc-target-uri"), kind, number("warc-refers-to"), length, digest, payload
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+        # the payload of an HTTP message is a part of its block
+        if stated not in (None, digest) and not fields.get("content-type", "").startswith("application/http"):
+            errors.append("digest differs")
+    return page("warc-record-id"), fields.get("warc-target-uri"), kind, page("warc-refers-to"), size, digest, payload, "; ".join(errors) or None
+
+
+def salvaged(packed: bytes) -> tuple:
+    """The columns of RECORD from a member that cannot be read to its end: what its header says, no payload, an error."""
+    inflate, out = zlib.decompressobj(31), b""
+    try:
+        for at in range(0, len(packed), 256):
+            out += inflate.decompress(packed[at : at + 256])
+            if b"\r\n\r\n" in out:
+                break
+    except zlib.error:
+        pass
+    known = parse(out)
+    return (*(known[:4] if known else [None] * 4), None, None, None, "damaged or truncated member")
 
 
 class _Member:
@@ -146,17 +185,21 @@ class _Member:
 def assemble(pieces: Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
     """(kind, bytes) of consecutive pieces, each beginning with the magic.
 
-    ``record``: the content of a whole member. ``part``: a piece before the first record, perhaps of a
-    member that began earlier, or of a last member that is not whole. Every piece is a candidate for
+    ``record``: the content of a whole member. ``lead``: a piece before the first record, perhaps of a
+    member that began earlier. ``open``: a piece of a last member that is not whole. ``damaged``: the
+    pieces of a member that cannot be decoded, once for a stretch of these. Every piece is a candidate for
     the start of a member until its header is decoded; a piece that follows an open record goes on
-    with it, as the magic may occur inside compressed data. Other bytes belong to no record.
+    with it, as the magic may occur inside compressed data.
     """
     current: _Member | None = None
     candidates: list[tuple[int, _Member]] = []
     loose: list[bytes] = []  # not part of a record so far
-    began = False
+    began = broken = False
     for piece in pieces:
         if current is None or not current.add(piece):
+            if current is not None and not broken:
+                yield "damaged", b"".join(current.pieces)
+                broken = True
             current = None
             candidates = [(at, c) for at, c in candidates if c.add(piece)]
             fresh = _Member()
@@ -168,7 +211,10 @@ def assemble(pieces: Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
                 continue
             before = loose if found is None else loose[: found[0]]
             if not began:
-                yield from (("part", p) for p in before)
+                yield from (("lead", p) for p in before)
+            elif before and not broken:
+                yield "damaged", b"".join(before)
+                broken = True
             loose, candidates = [], []
             if found is None:
                 continue
@@ -176,9 +222,9 @@ def assemble(pieces: Iterator[bytes]) -> Iterator[tuple[str, bytes]]:
         if current.whole:
             if current.out:
                 yield "record", current.out
-            current = None
+            current, broken = None, False
     rest = loose if current is None else current.pieces
-    yield from (("part", p) for p in rest)
+    yield from (("open", p) for p in rest)
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], Iterator[bytes]]]:
@@ -188,7 +234,8 @@ def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int]
         for file, block, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
     )
     for key, group in groupby(rows, key=lambda row: row[0]):
-        yield key, (piece for _, piece in group)
+        # nothing stands before the first magic of a file, and no member goes on there
+        yield key, (piece for i, (_, piece) in enumerate(group) if i or key[1] or piece != MAGIC)
 
 
 def _scan(payloads: bool):
@@ -198,15 +245,14 @@ def _scan(payloads: bool):
         size = 0
         for (file, block), pieces in _ranges(batches):
             for order, (kind, body) in enumerate(assemble(pieces)):
-                parsed = parse(body) if kind == "record" else None
-                if kind == "record" and parsed is None:
+                if kind in ("lead", "open"):
+                    rows.append((*[None] * 8, kind, file, block, order, body))
+                    size += len(body)
                     continue
+                parsed = parse(body) if kind == "record" else salvaged(body)
                 if parsed is not None:
-                    rows.append((*parsed[:6], parsed[6] if payloads else None, kind, None, None, None, None))
+                    rows.append((*parsed[:6], parsed[6] if payloads else None, parsed[7], "record", None, None, None, None))
                     size += len(parsed[6] or b"") if payloads else 100
-                else:
-                    rows.append((*[None] * 7, kind, file, block, order, body))
-                    size += len(body)
                 if size > _BATCH_BYTES:
                     yield _to_batch(rows, schema)
                     rows, size = [], 0
@@ -221,10 +267,15 @@ def _to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _stitch(frame: pd.DataFrame) -> pd.DataFrame:
-    """Records of one file whose pieces lie in several ranges."""
+    """Records of one file whose pieces lie in several ranges, and one row with an error for each stretch that is none."""
     frame = frame.sort_values(["block", "part"])
-    records = [parse(body) for kind, body in assemble(iter(frame["body"])) if kind == "record"]
-    return pd.DataFrame([r for r in records if r], columns=[c.split()[0] for c in RECORD.split(", ")])
+    records = []
+    for kind, group in groupby(assemble(iter(frame["body"])), key=lambda found: found[0]):
+        bodies = [body for _, body in group]
+        if kind in ("lead", "open"):
+            bodies = [b"".join(bodies)] if any(body != MAGIC for body in bodies) else []
+        records += [parse(body) if kind == "record" else salvaged(body) for body in bodies]
+    return pd.DataFrame([r for r in records if r], columns=[c.split()[0] for c in RECORD.split(", ")]).astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
 
 
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -235,9 +286,14 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     it. Every candidate is decoded up to its header before it counts. Where the magic occurs inside
     compressed data the record is put together from its pieces; should such a magic lie in the
     next range, the pieces meet by file in a second step, almost always empty. Members without a
-    record are skipped; archives without records give no rows. The digest and length of a response
+    record are skipped; empty files give no rows. The digest and length of a response
     are those of the payload read, those of a revisit are from its header. File names must not end
     in ``.gz``, or Spark would inflate whole files.
+
+    Nothing that is wrong ends the job: ``error`` says what (see :func:`parse`), null for a sound record. A member
+    that is damaged or cut off is a row with what its header still says and no payload. Bytes that
+    belong to no record, as in files of another kind, give one row for each byte range they fill, with
+    nothing but an error; only files in which a member was left open send pieces to the second step.
     """
     lines = spark.read.option("lineSep", MAGIC.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
     body = F.col("value").cast("binary").alias("body")
@@ -245,8 +301,12 @@ def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     found = blocks.mapInArrow(_scan(payloads), _FOUND)
     columns = [c.split()[0] for c in RECORD.split(", ")]
     whole = found.filter("kind = 'record'").select(*columns)
-    parts = found.filter("kind <> 'record'").select("file", "block", "part", "body")
-    return whole.union(parts.groupBy("file").applyInPandas(_stitch, RECORD))
+    parts = written(found.filter("kind <> 'record'").select("kind", "file", "block", "part", "body"), "parts")
+    files = small(written(parts.filter("kind = 'open'").select("file").distinct(), "open-files"))
+    stitched = parts.join(files, "file", "left_semi").select("file", "block", "part", "body").groupBy("file").applyInPandas(_stitch, RECORD)
+    strange = parts.join(files, "file", "left_anti").filter(F.col("body") != F.lit(MAGIC)).select("file", "block").distinct()
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (c.split() for c in RECORD.split(", ")[:-1])]
+    return whole.union(stitched).union(strange.select(*nothing, F.lit("no record").alias("error")))
 
 
 def archived(pages: DataFrame, payloads: bool = False) -> DataFrame:
