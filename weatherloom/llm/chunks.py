@@ -238,7 +238,7 @@ def _cut_out(min_words: int, min_bytes: int, text: Column, runs_col: Column) ->
         for row in range(len(text)):
             own = data[offsets[row] : offsets[row + 1]]
             spans = [extended(own, *x.values()) for x in found[row].as_py() or []]
-            gone = [(a, b) for a, b in runs(spans) if b - a >= min_bytes or words_in(own[a:b]) >= min_words]
+            gone = [(a, b) for a, b in runs(spans) if b - a >= min(min_bytes, len(own)) or words_in(own[a:b]) >= min_words]
             kept = list(zip([0, *(b for _, b in gone)], [*(a for a, _ in gone), (1 << 31) - 1]))
             lists = [[{"start": a, "end": b} for a, b in r] for r in (gone, kept)]
             rows.append(dict(zip(("removed", "kept"), lists)) if gone else None)
@@ -267,7 +267,8 @@ def runs(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES) -> DataFrame:
     """All columns of ``docs``, the text without its repeated runs, and the new column removed_spans.
 
-    A run goes if it has ``min_words`` words or ``min_bytes`` bytes. Of stretches in common that are
+    A run goes if it has ``min_words`` words or ``min_bytes`` bytes or is the whole text; texts in which there
+    is no room for so much (less than 2 * min_words - 1 bytes) stay. Of stretches in common that are
     shorter than SURE_BYTES some are not found; up to CUT_WINDOW bytes may stay at a border that only a later
     copy shares, not the first place. removed_spans holds (start, end) in bytes of the UTF-8 text given.
     Null and empty texts stay as they are, with no spans. Rows repeated with id and text keep the same
