@@ -124,7 +124,7 @@ def test_chunks_cover_the_text():
         data = np.frombuffer(text.encode(), np.uint8)
         ends = chunks.chunk_ends(data)
         parts = [data[a:b].tobytes() for a, b in zip([0, *ends], ends)]
-        assert b"".join(parts).decode() == text and all(p.decode() for p in parts) and all(len(p) <= chunks.CUT_WINDOW for p in parts[1:-1])
+        assert b"".join(parts).decode() == text and all(p.decode() for p in parts) and all(len(p) <= chunks.LONG_CHUNK for p in parts[1:-1])
 
 
 def test_chat(spark):

@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from weatherloom.llm import ngrams
 from weatherloom.llm.common import BROADCAST_ROWS, small, text_hash, tidy_map, written
 
-#: Of so many neighbouring places the one with the least hash is a cut; no chunk is longer.
+#: A cut is the least hash of so many places on either side, so that no chunk between two is short.
+REACH = 24
+#: Where cuts are further apart than this,
+LONG_CHUNK = 80
+#: the least hashes of all windows of so many places are cuts as well.
 CUT_WINDOW = 64
 #: Bytes whose hash is that of a place.
 _WINDOW = 16
-#: Any so many bytes that two texts share hold a whole chunk of both.
-SURE_BYTES = 2 * CUT_WINDOW + _WINDOW - 1
+#: Any so many bytes that two texts share hold a whole chunk of both: two cuts, or one and a long chunk beside it, or a long chunk.
+SURE_BYTES = 2 * LONG_CHUNK + 2 * REACH + _WINDOW
 #: Bytes on either side of equal chunks that are compared as well.
 BORDER = 128
 #: What is repeated goes where it holds so many words (white space or ends around them), or
@@ -46,36 +50,49 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _least(keys: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` neighbouring keys."""
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        keys = np.minimum(keys[:-step], keys[step:])
+        done += step
+    return keys
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
-    """Where the chunks of one text begin, but for the first: at the least hash of every CUT_WINDOW neighbouring places.
+    """Where the chunks of one text begin, but for the first.
 
     The hash is of the 16 bytes from a place on, only starts of characters count, and of equal hashes the
-    first one is least. So the bytes around decide alone, whatever the script, and any SURE_BYTES bytes
-    that two texts share hold two cuts of both. A text with less than CUT_WINDOW places has no cuts.
+    first one is least. A place with the least hash among REACH on either side is a cut, so chunks have
+    more than REACH bytes; in what is longer than LONG_CHUNK, as in text that repeats itself, the
+    least places of all windows of CUT_WINDOW are cuts too. The bytes around decide alone, whatever the script.
     """
-    places = len(data) - _WINDOW + 1
-    found = [np.zeros(0, np.int64)]
-    for a in range(0, places - CUT_WINDOW + 1, _STEP):
+    places, width = len(data) - _WINDOW + 1, 2 * REACH + 1
+    peaks, lows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a in range(0, places - width + 1, _STEP):
         stop = min(a + _STEP + CUT_WINDOW - 1, places)
         part = data[a : stop + _WINDOW - 1]
         h = gear_hashes(part)[_WINDOW - 1 :] * _SPREAD
         h ^= h >> np.uint32(15)
         h[part[: len(h)] & 0xC0 == 0x80] = 0xFFFFFFFF
-        least = (h.astype(np.uint64) << np.uint64(32)) + np.arange(len(h), dtype=np.uint64)
-        width = 1
-        while width < CUT_WINDOW:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
-        found.append(at[np.diff(at, prepend=-1) > 0])
-    at = np.concatenate(found)
-    return at[np.diff(at, prepend=-1) > 0]
+        keys = (h.astype(np.uint64) << np.uint64(32)) + np.arange(len(h), dtype=np.uint64)
+        near = _least(keys, width)
+        peaks.append(np.flatnonzero(near == keys[REACH : REACH + len(near)]) + REACH + a)
+        if len(keys) >= CUT_WINDOW:
+            low = (_least(keys, CUT_WINDOW) & np.uint64(0xFFFFFFFF)).astype(np.int64) + a
+            lows.append(low[np.diff(low, prepend=-1) > 0])
+    peak, low = np.unique(np.concatenate(peaks)), np.unique(np.concatenate(lows))
+    edges = np.concatenate([[0], peak, [len(data)]])
+    after = np.searchsorted(edges, low)
+    wide = np.diff(edges, prepend=0)[np.minimum(after, len(edges) - 1)] > LONG_CHUNK
+    return np.union1d(peak, low[wide])
 
 
 def _digested(text: np.ndarray) -> tuple[list[int], list[bytes]]:
     """(ends, digests) of the chunks of a text, from cut to cut.
 
-    Where a text repeats itself a few bytes make a chunk; of equal neighbours as many as fit into
+    Where a text repeats itself a few bytes may make a chunk; of equal neighbours as many as fit into
     CUT_WINDOW are one, which is the same wherever the repetition begins.
     """
     raw, ends = text.tobytes(), [c for c in cuts(text).tolist() if c] + [len(text)] * (len(text) > 0)
@@ -94,7 +111,7 @@ def _digested(text: np.ndarray) -> tuple[list[int], list[bytes]]:
 
 
 def chunk_ends(data: np.ndarray) -> list[int]:
-    """Where the chunks of one text end; none but the first and the last is longer than CUT_WINDOW."""
+    """Where the chunks of one text end; none but the first and the last is longer than LONG_CHUNK."""
     return _digested(data)[0]
 
 
@@ -269,7 +286,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A run goes if it has ``min_words`` words or ``min_bytes`` bytes or is the whole text; texts in which there
     is no room for so much (less than 2 * min_words - 1 bytes) stay. Of stretches in common that are
-    shorter than SURE_BYTES some are not found; up to CUT_WINDOW bytes may stay at a border that only a later
+    shorter than SURE_BYTES some are not found; part of a chunk may stay at a border that only a later
     copy shares, not the first place. removed_spans holds (start, end) in bytes of the UTF-8 text given.
     Null and empty texts stay as they are, with no spans. Rows repeated with id and text keep the same
     text. A text may become empty. A column of ``docs`` named removed_spans is replaced.
