@@ -51,6 +51,7 @@ WRITES_FIRST = {
     "parquet_by_country", "csv_gz_round_trip", "expanded_bytes", "dense_months",
     "element_counts_from_rollup", "country_year_means_from_rollup", "file_sizes", "read_year_file",
     "landed_changes", "landed_rollup", "relanded_years", "unread_lines", "line_counts", "read_lines_of_broken_files",
+    "observation_columns",
 }
 
 

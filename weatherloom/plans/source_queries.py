@@ -5,12 +5,12 @@ What is read is first written from the benchmark tables to the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weatherloom import schema as S
 from weatherloom.functions import columns as C
-from weatherloom.operators import enrich, gaps, rainfall
+from weatherloom.operators import enrich, gaps, rainfall, report
 from weatherloom.plans import standins as D
 from weatherloom.plans.registry import query
 from weatherloom.sources import dimensions, files, observations, sinks
@@ -119,6 +119,39 @@ def read_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations.read_observations(spark, path)
 
 
+@query(
+    "observation_columns",
+    D.given(
+        "daily",
+        then=" UNION ALL ".join(
+            f"SELECT {i} AS POSITION, '{c}' AS COLUMN_NAME, '{'double' if c == 'VALUE' else 'string'}' AS TYPE, count({'NULL' if c == 'MEASUREMENT_FLAG' else c}) AS N_VALUES FROM daily"
+            for i, c in enumerate(_OBSERVATION)
+        ),
+    ),
+)
+def observation_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Name, type and number of values of each column of the files read back, in their order."""
+    path = _written(spark, "daily", csv_lines(D.order_observations(spark, sf_dir)), "gzip")
+    read = observations.read_observations(spark, path)
+    counts = read.agg(*(F.count(name).alias(name) for name in read.columns))
+    rows = (
+        F.struct(F.lit(i).alias("POSITION"), F.lit(f.name).alias("COLUMN_NAME"), F.lit(f.dataType.simpleString()).alias("TYPE"), F.col(f.name).alias("N_VALUES"))
+        for i, f in enumerate(read.schema.fields)
+    )
+    return counts.select(F.inline(F.array(*rows)))
+
+
+@query(
+    "report_order",
+    D.given("rainfall", then="SELECT YEAR, COUNTRY_CODE, row_number() OVER (ORDER BY YEAR, COUNTRY_CODE) AS POSITION FROM rainfall"),
+)
+def report_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each row of a published table stands; as the other windows over whole tables, on an aggregate only."""
+    means = rainfall.country_year_means(D.order_observations(spark, sf_dir), D.customer_stations(spark, sf_dir))
+    placed = report.in_report_order(means).withColumn("AT", F.monotonically_increasing_id())
+    return placed.select("YEAR", "COUNTRY_CODE", F.row_number().over(Window.orderBy("AT")).alias("POSITION"))
+
+
 @query(
     "read_landed_years",
     D.given(
