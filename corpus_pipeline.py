@@ -13,29 +13,44 @@ MAX_BITS = 4
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the resampling towards labelled good text keeps."""
+    """Documents that the resampling towards labelled good text keeps.
+
+    Null, empty and blank texts go; repeated rows stay or go together; no rows give no rows.
+    """
     return resample.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id."""
+    """One document of each group of near copies: the one with the smallest doc_id.
+
+    Texts without words are copies of each other; of repeated rows one stays; no rows give no rows.
+    """
     return simhash.first_of_each_group(docs, radius=MAX_BITS, words_per_shingle=SHINGLE_WORDS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each without the passages that stand in an earlier one; n_chars follows the text."""
+    """All documents, each without the passages that stand in an earlier one; n_chars follows the text.
+
+    Null and empty texts stay as they are; rows repeated with id and text keep the same text; no rows give no rows.
+    """
     left = chunks.deduplicated(docs)
     n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
     return left.select(*(n_chars.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item.
+
+    Null and empty texts contain none and stay, as do all rows repeated; without items all stay.
+    """
     return decontam.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with its best segmentations."""
+    """Token ids of each document, with its best segmentations.
+
+    A null text is encoded as an empty one; repeated rows are encoded each; no rows give no rows.
+    """
     return nbest.encoded(docs)
 
 
@@ -47,7 +62,7 @@ STAGES = [
     ("sentencepiece encoding", tokens),
 ]
 
-#: SQL has no trained classifier; tests compare each stage with a brute-force version.
+#: SQL has no trained classifier; tests hold the operators of the first four stages against brute force or SQL.
 ORACLE_SQL = None
 
 
