@@ -13,8 +13,8 @@ from tests.llm.conftest import LONG, PASSAGE
 from weatherloom.llm import chat, chunks, decontam, langid, nbest, ngrams, quality_rules, resample, simhash, suffixes, warc
 
 
-def rows_by_id(df, column):
-    return sorted(((r["doc_id"], r[column]) for r in df.collect()), key=repr)
+def rows_by_id(df, *columns):
+    return sorted(((r["doc_id"], *(r[c] for c in columns)) for r in df.collect()), key=repr)
 
 
 def test_language(odd_docs):
@@ -233,9 +233,10 @@ def test_suffix_dedup_against_every_window(docs_of, group_size):
     letters = "".join(rng.choice(list("abcdefgh é\n"), 1500))
     rows = [(i, f"{i}" * int(rng.integers(0, 90)) + letters[int(rng.integers(0, 300)) : int(rng.integers(500, 1500))] + "!" * int(rng.integers(0, 60))) for i in range(14)]
     rows += [(20, "ab" * 700), (21, "q" * 399), (22, "r" * 401), (23, None), (None, ""), (24, rows[0][1]), (25, letters[:400]), (26, letters[:399])]
-    got = rows_by_id(suffixes.without_repeats(docs_of(rows), group_size=group_size), "kept")
-    brute = brute_repeats([(t or "").encode() for _, t in rows])
-    assert [(d, bytes(k)) for d, k in got] == sorted(zip([d for d, _ in rows], brute), key=repr)
+    got = rows_by_id(suffixes.without_repeats(docs_of(rows), group_size=group_size).select("doc_id", "kept", "n_shared"), "kept", "n_shared")
+    texts = [(t or "").encode() for _, t in rows]
+    shared = [len(t) - len(left) for t, left in zip(texts, brute_repeats(texts, suffixes.SHARED_BYTES))]
+    assert [(d, bytes(k), n) for d, k, n in got] == sorted(zip([d for d, _ in rows], brute_repeats(texts), shared), key=repr)
 
 
 def test_suffix_dedup_on_odd_rows(odd_docs):

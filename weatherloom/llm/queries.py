@@ -69,7 +69,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.without_repeats(_table(spark, sf_dir, "documents"))
     return left.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_shared",
     )
 
 
@@ -118,9 +118,15 @@ FROM e GROUP BY conv_id
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), w AS (
-  SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d)
+  SELECT doc_id, i, substr(h, 2 * i + 1, 800) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 239)) AS i FROM d)
+), v AS MATERIALIZED (
+  SELECT doc_id, i, CASE WHEN length(x) = 800 THEN md5_number(x) END AS k, md5_number(substr(x, 1, 480)) AS k240 FROM w
 ), r AS (
-  SELECT doc_id, i FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)
+  SELECT doc_id, i FROM v WHERE k IN (SELECT k FROM v WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1)
+), z AS (
+  SELECT doc_id, sum(least(240, coalesce(next - i, 240)))::BIGINT AS n_shared
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM v WHERE k240 IN (SELECT k240 FROM v GROUP BY k240 HAVING count(*) > 1))
+  GROUP BY doc_id
 ), g AS (
   SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run
   FROM (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM r)
@@ -133,8 +139,8 @@ WITH d AS (
   FROM p JOIN d USING (doc_id) GROUP BY doc_id
 )
 SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
-  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE front || substr(h, 2 * stop + 1) END)) AS kept_sha256
-FROM d LEFT JOIN o USING (doc_id)
+  sha256(unhex(CASE WHEN n IS NULL THEN h ELSE front || substr(h, 2 * stop + 1) END)) AS kept_sha256, coalesce(n_shared, 0) AS n_shared
+FROM d LEFT JOIN o USING (doc_id) LEFT JOIN z USING (doc_id)
 """,
     "op12_embedding_dedup": neighbours.SQL,
     "op13_collocations": phrases.SQL,
