@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm import ngrams
-from weatherloom.llm.common import BROADCAST_ROWS, small, text_hash, written
+from weatherloom.llm.common import small, text_hash, written
 
 MATCH_BYTES = 400
 #: Strings that count as shared without being removed; of passages of 51 words, 99.5 % are longer.
 SHARED_BYTES = 240
+#: Sides of joins are broadcast up to some 64 MB: rows of an anchor or a key, and places in texts. Beyond, both sides are shuffled.
+BROADCAST_KEYS = 2_000_000
+BROADCAST_PLACES = 1_000_000
 #: Different contexts that are sorted together.
 GROUP_SIZE = 256
 #: Windows of a lane, from one division of a crowded group to the next; the last must be 1.
@@ -129,7 +132,7 @@ def _with_ranges(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
     """``rows`` with the columns of ``found`` for their doc_id and text_hash; broadcast if few rows and ranges."""
     lists = [c for c, kind in found.dtypes if kind.startswith("array")]
     found = found.withColumnsRenamed({"doc_id": "i", "text_hash": "h"})
-    if (found.agg(F.sum(sum((F.size(c) for c in lists), F.lit(1)))).first()[0] or 0) <= BROADCAST_ROWS:
+    if (found.agg(F.sum(sum((F.size(c) for c in lists), F.lit(1)))).first()[0] or 0) <= BROADCAST_PLACES:
         found = F.broadcast(found)
     return rows.join(found, rows["doc_id"].eqNullSafe(found["i"]) & (rows["text_hash"] == found["h"]), how).drop("i", "h")
 
@@ -300,7 +303,7 @@ def repeated_spans(
     found = written(occurrences(docs, id_col, text_col, match, within), "occurrences")
     different = (F.min("context") != F.max("context")) | (F.min("context_2") != F.max("context_2"))
     anchors = written(found.groupBy("anchor").agg(F.count("*").alias("n"), different.alias("mixed")).filter("n > 1").drop("n"), "anchors")
-    shared = written(found.join(small(anchors), "anchor"), "shared")
+    shared = written(found.join(small(anchors, BROADCAST_KEYS), "anchor"), "shared")
     end = (F.col("start") + F.col("windows") + F.lit(match - 1)).alias("end")
     whole = shared.filter("not mixed").select("doc_id", "text_hash", "start", end)
 
@@ -313,7 +316,7 @@ def repeated_spans(
     mark = uuid.uuid4().hex
     places = F.struct("anchor", "times", "start", "windows", "lead")
     by_doc = folded.groupBy("doc_id", "text_hash").agg(F.collect_list(places).alias("places")).withColumnsRenamed({"doc_id": f"i{mark}", "text_hash": f"h{mark}"})
-    if folded.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    if folded.limit(BROADCAST_PLACES + 1).count() <= BROADCAST_PLACES:
         by_doc = F.broadcast(by_doc)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_hash(F.col(text_col)).alias("text_hash"), F.col(text_col).cast("binary").alias("data"))
     same = rows["doc_id"].eqNullSafe(by_doc[f"i{mark}"]) & (rows["text_hash"] == by_doc[f"h{mark}"])
@@ -339,7 +342,7 @@ def repeated_spans(
 def _by_key(contexts: DataFrame, keys: list[str], group_size: int, match: int) -> tuple[DataFrame, DataFrame | None]:
     """(spans of the contexts sorted with the others of their key, contexts whose key has too many if there are any)."""
     sizes = written(contexts.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
-    sized = contexts.join(small(sizes), keys)
+    sized = contexts.join(small(sizes, BROADCAST_KEYS), keys)
     member = F.struct("doc_id", "text_hash", "times", "start", "windows", "lead", "data")
     groups = sized.filter(F.col("n") <= group_size).groupBy(*keys).agg(F.collect_list(member).alias("members")).select("members")
     crowded = None
